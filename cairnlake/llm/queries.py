@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from cairnlake.llm import packing, residue, tokens
+from cairnlake.llm import matching, packing, residue, tokens
 from cairnlake.session import shared_dir
 from cairnlake.sources.tables import table
 
@@ -23,7 +23,13 @@ def _p8(s, d):
     return residue.judged(table(s, d, "documents"))
 
 
+def _four(s, d):
+    return [table(s, d, n) for n in ("patient", "linkage_record", "specimen", "ingest_source")]
+
+
 QUERIES = {
+    "p4_found": lambda s, d: matching.found(*_four(s, d)),
+    "p4_matches": lambda s, d: matching.matches(*_four(s, d)),
     "p6_ids": lambda s, d: tokens.encoded(table(s, d, "documents")),
     "p7_packed": _p7,
     "p8_found": _p8,
