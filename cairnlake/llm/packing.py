@@ -105,5 +105,7 @@ def packed(sizes: DataFrame, budgets: DataFrame, block: int = BLOCK) -> DataFram
         return pd.DataFrame(out, columns=["budget_name", "capacity_tokens", "container", "doc_id", "copy", "first_token", "n_tokens"]).astype({"doc_id": "Int64"})
 
     schema = "budget_name string, capacity_tokens bigint, container string, doc_id bigint, copy bigint, first_token bigint, n_tokens bigint"
-    spread = sizes.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+    # A fixed number of partitions: the rows are few but their work isn't, so they must not be coalesced by size.
+    tasks = max(1, min(blocks, int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    spread = sizes.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).repartition(tasks, "tokenizer", "block")
     return spread.groupBy("tokenizer", "block").applyInPandas(run, schema)
