@@ -58,7 +58,8 @@ def _get(node: Column, name: str) -> Column:
     """The collection at a field of a node."""
     at = "$['" + name.replace("'", "\\'") + "']" if not re.fullmatch(r"\w+", name) else "$." + name
     one = F.try_variant_get(node, at, "variant")
-    return F.coalesce(F.try_variant_get(node, at, "array<variant>"), F.when(one.isNotNull() & ~F.is_variant_null(one), F.array(one)), _empty())
+    many = F.filter(F.try_variant_get(node, at, "array<variant>"), lambda x: x.isNotNull() & ~F.is_variant_null(x))
+    return F.coalesce(many, F.when(one.isNotNull() & ~F.is_variant_null(one), F.array(one)), _empty())
 
 
 def _getter(name: str):
@@ -175,6 +176,8 @@ class _Paths:
     @staticmethod
     def guess(name: str) -> str | None:
         """The type of a choice field by its name, for boundaries."""
+        if name == "birthDate":
+            return "date"
         m = re.search(r"(DateTime|Date|Time|Instant)$", name)
         return {"DateTime": "dateTime", "Date": "date", "Time": "time", "Instant": "dateTime"}[m[1]] if m else None
 
@@ -215,7 +218,7 @@ class _Paths:
             need(0, 1)
             ref = F.try_variant_get(F.get(_coll(v), 0), "$.reference", "string")
             kind = self.type_name(("call", name, args)) if args else r"[A-Za-z]+"
-            return _Value("str", F.nullif(F.regexp_extract(ref, rf"(?:^|/){kind}/([A-Za-z0-9.\-]+)(?:/_history/.*)?$", 1), F.lit("")))
+            return _Value("str", F.nullif(F.regexp_extract(ref, rf"(?:^|/){kind}/([A-Za-z0-9.\-]+)(?:/_history/[^\n]*)?\z", 1), F.lit("")))
         if name == "ofType":
             raise CompileError("ofType must follow a field")
         if name in ("lowBoundary", "highBoundary"):

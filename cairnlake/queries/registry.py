@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cairnlake.queries import problems
+from cairnlake.queries import problems, search, store, views
 
-MODULES = [problems]
+MODULES = [problems, store, search, views]
 
 
 def queries() -> dict:
