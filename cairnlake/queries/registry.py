@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cairnlake.queries import problems, search, store, views
+from cairnlake.queries import identity, problems, search, store, views
 
-MODULES = [problems, store, search, views]
+MODULES = [problems, store, search, views, identity]
 
 
 def queries() -> dict:
