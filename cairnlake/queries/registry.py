@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cairnlake.queries import identity, problems, search, store, views
+from cairnlake.queries import identity, problems, quality, search, store, views
 
-MODULES = [problems, store, search, views, identity]
+MODULES = [problems, store, search, views, identity, quality]
 
 
 def queries() -> dict:
