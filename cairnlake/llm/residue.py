@@ -215,7 +215,7 @@ def evidence(doc_id: object, text: str | None, court: str | None, cues: object)
         own = (court or "").casefold()
         for unit in {_mask(u.strip()) for line in _LINES.split(text) for u in _SENTENCES.split(line)}:
             if unit != own and len(_WORD.findall(unit)) >= 3:
-                out.append((doc_id, "page", unit, None, hash_of(_mask(text))))
+                out.append((doc_id, "page", unit, None, hash_of(text)))
     return out
 
 
