@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cairnlake.queries import feeds, identity, problems, quality, records, search, store, views
+from cairnlake.queries import feeds, governance, identity, problems, quality, records, search, store, views
 
-MODULES = [problems, store, search, views, identity, quality, records, feeds]
+MODULES = [problems, store, search, views, identity, quality, records, feeds, governance]
 
 
 def queries() -> dict:
