@@ -78,7 +78,7 @@ def rewrite_bodies(df: DataFrame, key: list[str], survivors: DataFrame, body: st
     The references of a body are extracted and joined to the survivors first, so only
     bodies with something to change go through Python, in Arrow batches.
     """
-    refs = df.select(*key, F.explode(F.array_distinct(F.regexp_extract_all(F.col(body), F.lit(rf'"reference"\s*:\s*"(?:[^"]*/)?{kind}/([A-Za-z0-9.\-]+)'), F.lit(1)))).alias("_ref"))
+    refs = df.select(*key, F.explode(F.array_distinct(F.regexp_extract_all(F.col(body), F.lit(rf'"reference"\s*:\s*"[^"]*{kind}/([A-Za-z0-9.\-]+)'), F.lit(1)))).alias("_ref"))
     maps = refs.join(survivors.select(F.col("id").alias("_ref"), "terminal"), "_ref").groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("_ref", "terminal"))).alias("_map"))
     j = df.join(maps, key, "left")
 
