@@ -74,14 +74,15 @@ _ID = r"[^\W\d]\w*(?:\.\w+)*"
 #: Marks: unfilled fields and leftover code in the notations of common template languages; defaults; blanks.
 MARK = re.compile(
     rf"\{{\{{[^{{}}\n]{{1,80}}\}}\}}\}}?|[$#]\{{\s*[^{{}}\n]{{1,60}}\}}|\{{%[^{{}}\n]{{1,80}}%\}}|(?<![\w{{])\{{(?:{_ID}|\d{{1,3}})\}}|<%[^<>\n]{{0,80}}%>|<\?[^<>\n]{{0,80}}\?>"
-    rf"|%\(\w+\)[sd]|(?<![\w%])%[A-Z][A-Z0-9_]{{2,}}%|@@\w+@@|##\w+##|\[\[[^\[\]\n]{{1,60}}\]\]|<<[^<>\n]{{1,60}}>>|«[A-Z]+_[A-Z0-9_]*»"
-    rf"|<(?!/?noscript\b|\|)[^\W\d_][^<>\n|/=]{{2,60}}>|\[(?=[^\[\]\n]*(?i:{ASK}))[^\[\]\n]{{2,80}}\]|\((?=[^()\n]*\b(?:ENTER|INSERT|EINFÜGEN|EINTRAGEN|COMPLÉTER|INSÉRER|INSERTAR|COMPLETAR|TBC|TBD)\b)[^()\n]{{4,80}}\)"
+    rf"|%\(\w+\)[sd]|(?<![\w%])%[A-Z][A-Z0-9_]{{2,}}%|@@\w+@@|##\w+##|\[\[[^\[\]\n]{{1,60}}\]\]|<<[^<>\n]{{1,60}}>>|&lt;[^&<>\n]{{2,60}}&gt;|\[(?:●|_{{2,}}|\s+)\]|«[A-Z]+_[A-Z0-9_]*»"
+    rf"|<(?!/?noscript\b|\|)[^\W\d_][^<>\n|/=]{{2,60}}>|\[(?=[^\[\]\n]*(?i:{ASK}))[^\[\]\n]{{2,80}}\]|\((?=[^()\n]*(?i:enter|insert|einfügen|eintragen|compléter|insérer|insertar|completar|tbc|tbd)\b)[^()\n]{{4,80}}\)"
     r"|(?<![\w\[])\[object \w+\]|(?<!\w)#(?:REF!|N/A|VALUE!|NAME\?|NULL!|DIV/0!|NUM!)"
 )
 # Characters that marks start with; the plain words are looked for by themselves.
-_START = re.compile(r"[{<@%«\[(#]")
-_WORDS = ("TODO", "FIXME", "NaN", "undefined", "null", "None", "TBC", "TBD")
-_WORD_MARK = re.compile(r"(?<![\w.\-\[{<%@#(])(?:TODO|FIXME|NaN|undefined|null|None|TBC|TBD)(?![\w\-])(?! (?:und|and|of|et|y|der|the|ist|is)\b)")
+_START = re.compile(r"[{<@%«\[(#&]")
+_ASKED = ("enter ", "insert", "insér", "compl", "tbc", "tbd", "hier ")
+_WORDS = ("TODO", "FIXME", "NaN", "undefined", "null", "None", "TBC", "TBD", "XX")
+_WORD_MARK = re.compile(r"(?<![\w.\-\[{<%@#(])(?:TODO|FIXME|NaN|undefined|null|None|TBC|TBD)(?![\w\-])(?! (?:und|and|of|et|y|der|the|ist|is)\b)|\bXX[./-]XX[./-](?:20)?XX(?:XX)?\b")
 _SEE = re.compile(r"(?i)<(?:see|cf|siehe|voir|véase|ver)\b|</?(?:p|br|b|i|em|strong|div|span|a|table|tr|td|th|ul|ol|li|h\d|body|html|head|title|img|script|style)(?:\s[^<>]*)?/?>")
 _SCRIPT, _STATUS = re.compile(f"(?i){SCRIPT}"), re.compile(STATUS)
 _LATIN = re.compile(rf"(?i)^(?:{'|'.join(LATIN)})")
@@ -178,7 +179,7 @@ def _marks(text: str) -> Iterator[tuple[int, int]]:
     for m in _START.finditer(text):
         at = m.start()
         c = text[at]
-        if at < last or c == "(" and not text[at + 1 : at + 4].isupper() or c == "[" and text[at + 1 : at + 2].isdigit():
+        if at < last or c == "(" and not (text[at + 1 : at + 4].isupper() or text[at + 1 : at + 8].lower().startswith(_ASKED)) or c == "[" and text[at + 1 : at + 2].isdigit():
             continue
         if c == "{" and at and text[at - 1] in "$#":
             at -= 1
