@@ -162,21 +162,27 @@ def bounds(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.min(column).alias("min"), F.max(column).alias("max"))
 
 
-def at_position(df: DataFrame, column: str, k: int) -> float | None:
+def at_position(df: DataFrame, column: str, k: int, small: int = 100_000) -> float | None:
     """The value at 0-based position ``k`` of the sorted non-null values, exactly.
 
-    An approximate quantile brackets it; only the bracket's distinct values are sorted.
+    Approximate quantiles bracket it, again within the bracket until that is small; only then values are sorted.
     """
-    x = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
-    n = x.count()
+    part = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
+    n = part.count()
     if not 0 <= k < n:
         return None
     eps = 0.001
-    lo, hi = x.approxQuantile("x", [max(0.0, k / n - 3 * eps), min(1.0, (k + 1) / n + 3 * eps)], eps)
-    below = x.where(F.col("x") < lo).count()
-    part = x.where(F.col("x").between(lo, hi)).groupBy("x").agg(F.count("*").alias("n"))
-    at = part.withColumn("upto", F.sum("n").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)))
-    row = at.where(F.col("upto") > k - below).orderBy("x").limit(1).first()
+    while n > small:
+        lo, hi = part.approxQuantile("x", [max(0.0, k / n - 3 * eps), min(1.0, (k + 1) / n + 3 * eps)], eps)
+        if lo == hi:
+            return lo
+        k -= part.where(F.col("x") < lo).count()
+        part = part.where(F.col("x").between(lo, hi))
+        before, n = n, part.count()
+        if n == before:  # few distinct values: counting them is enough
+            break
+    at = part.groupBy("x").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)))
+    row = at.where(F.col("upto") > k).orderBy("x").limit(1).first()
     return row["x"] if row else None
 
 

@@ -166,7 +166,7 @@ def test_position_is_exact(spark):
     df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
     s = sorted(xs)
     for k in (0, 1, 1250, 2500, 4749, 4999):
-        assert quality.at_position(df, "x", k) == s[k]
+        assert quality.at_position(df, "x", k) == quality.at_position(df, "x", k, small=50) == s[k]
     assert quality.at_position(df, "x", 5000) is None and quality.at_position(df.limit(0), "x", 0) is None
 
 
