@@ -196,12 +196,13 @@ def element_rows(df: DataFrame, body: str, key: list[str]) -> DataFrame:
     })
 
 
-def child_table(df: DataFrame, body: str, key: list[str], steps: list[str]) -> DataFrame:
+def child_table(df: DataFrame, body: str, key: list[str], steps: list[str], fields: list[str] | None = None) -> DataFrame:
     """The flat child table of one array path, given as its keys in order.
 
     ``["item", "answer"]`` is ``$.item[].answer[]``; a step may name a path of
     objects (``code.coding``). Each level is exploded with its ordinal. Columns: ``key``,
-    ``node_path``, ``parent_path``, ``ordinal`` and the elements' scalar fields (as text).
+    ``node_path``, ``parent_path``, ``ordinal`` and the elements' scalar fields (as text): those
+    that the merged schema has, or ``fields``, null where an element hasn't one.
     """
     tree = parse_schema(merged_schema(df, body))
     cols = [F.col(k) for k in key]
@@ -210,7 +211,8 @@ def child_table(df: DataFrame, body: str, key: list[str], steps: list[str]) -> D
         for name in step.split("."):
             at = at.get(name) if isinstance(at, dict) else None
         at = at[0] if isinstance(at, list) else None
-    fields = [k for k, v in at.items() if not isinstance(v, (dict, list))] if isinstance(at, dict) else []
+    if fields is None:
+        fields = [k for k, v in at.items() if not isinstance(v, (dict, list))] if isinstance(at, dict) else []
 
     def ddl(i: int) -> str:
         if i == len(steps):

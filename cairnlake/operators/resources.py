@@ -15,8 +15,9 @@ INDEX = "array<struct<code:string,system:string,value:string>>"
 
 def once(df: DataFrame) -> DataFrame:
     """One row per fhir_id; rows without one are left out."""
-    cols = [F.col(c) for c in df.columns]
-    return df.where("fhir_id is not null").groupBy("fhir_id").agg(F.min_by(F.struct(*cols), "silver_id").alias("_r")).select("_r.*")
+    # One aggregate per column, so that those a query doesn't use are pruned down to the scan.
+    order = F.coalesce("silver_id", F.lit(""))
+    return df.where("fhir_id is not null").groupBy("fhir_id").agg(*[F.min_by(c, order).alias(c) for c in df.columns if c != "fhir_id"])
 
 
 def _entry(code: str, value: Column, system: Column | None = None) -> Column:

@@ -117,7 +117,24 @@ _REV = """rev AS (SELECT o_orderkey::varchar AS review_id, o_custkey::varchar AS
 _TERM = """t AS (SELECT lpad(c_custkey::varchar, 9, '0') AS id, lpad((CASE WHEN c_custkey BETWEEN 10 AND 14 THEN 10 WHEN c_custkey BETWEEN 20 AND 24 THEN 20 ELSE c_custkey - c_custkey % 5 END)::varchar, 9, '0') AS terminal
  FROM customer WHERE c_custkey % 5 <> 0 OR c_custkey IN (10, 20))"""
 
+_IPAD, _OPAD = ("".join(f"\\x{b ^ p:02X}" for b in KEY.ljust(64, b"\0")) for p in (0x36, 0x5C))
+
+
+def _hmac(text: str) -> str:
+    return f"sha256('{_OPAD}'::BLOB || unhex(sha256('{_IPAD}'::BLOB || encode({text}))))"
+
+
+def _tok(c: str) -> str:
+    return f"regexp_replace(upper(strip_accents(coalesce({c}, ''))), '[^A-Z0-9]', '', 'g')"
+
+
+_GRAMS = """g AS (SELECT unique_id, unnest(list_transform(range(1, length(t) + 2), lambda i: substr('_' || t || '_', i, 2))) AS gram FROM (SELECT unique_id, unnest([{0}]) AS t FROM rec) WHERE t <> '')"""
+
 ORACLES = {
+    "pprl_hmac": f"WITH {_REC} SELECT unique_id, '1' AS key_version, {_hmac(" || '|' || ".join(_tok(c) for c in ("given", "family", "birth_date")))} AS token FROM rec",
+    "pprl_clk": f"""WITH {_REC}, {_GRAMS.format(", ".join(_tok(c) for c in ("given", "family", "birth_date")))},
+       b AS (SELECT DISTINCT unique_id, (('0x' || left({_hmac("gram || '|' || k")}, 8))::BIGINT % 1024) AS pos FROM g, (SELECT unnest([0, 1, 2, 3]) AS k)),
+       l AS (SELECT unique_id, list(pos ORDER BY pos) AS bits FROM b GROUP BY unique_id) SELECT r.unique_id, coalesce(l.bits, []) AS bits FROM rec r LEFT JOIN l USING (unique_id)""",
     "mpi_identifier_keys": f"WITH {PERSONS_SQL} SELECT id, key FROM keys",
     "mpi_components": f"{_COMP} SELECT id, component FROM comp",
     "mpi_resolution": f"{_RES} SELECT component, size, decision, reason, survivor, merged FROM res",

@@ -13,7 +13,7 @@ def _tables(spark, d, names):
 QUERIES = {
     "p1_found": lambda s, d: instants.found(*_tables(s, d, "bronze observation specimen patient ingest_source")),
     "p2_found": lambda s, d: nested.found(table(s, d, "bronze")),
-    "p2_answers": lambda s, d: nested.child_table(table(s, d, "bronze"), "body_json", ["_commit_version"], ["item", "answer"]),
+    "p2_answers": lambda s, d: nested.child_table(table(s, d, "bronze"), "body_json", ["_commit_version"], ["item", "answer"], ["valueBoolean", "valueInteger", "valueString"]),
     "p3_found": lambda s, d: orphans.found(*_tables(s, d, "observation imagingstudy claimresponse patient organization")),
     "p3_per_month": lambda s, d: orphans.per_month(*_tables(s, d, "observation imagingstudy claimresponse patient organization")),
     "p5_found": lambda s, d: changefeed.found(table(s, d, "bronze")),
@@ -39,6 +39,10 @@ _WINNERS = """SELECT resource_type, id, version_id, _commit_version, body_json F
   WHERE resource_type IS NOT NULL AND id IS NOT NULL) WHERE r = 1 AND NOT coalesce(deleted, false)"""
 
 ORACLES = {
+    "p2_answers": r"""SELECT b._commit_version, t.fullkey AS node_path, regexp_extract(t.fullkey, '^(.*\])\.answer\[[0-9]+\]$', 1) AS parent_path, regexp_extract(t.fullkey, '\[([0-9]+)\]$', 1)::int AS ordinal,
+       json_extract_string(t.value, '$.valueBoolean') AS valueBoolean, json_extract_string(t.value, '$.valueInteger') AS valueInteger, json_extract_string(t.value, '$.valueString') AS valueString
+       FROM (SELECT _commit_version, body_json FROM bronze WHERE json_valid(body_json)) b, json_tree(b.body_json) t
+       WHERE t.type = 'OBJECT' AND regexp_matches(t.fullkey, '^\$\.item\[[0-9]+\]\.answer\[[0-9]+\]$')""",
     "p2_found": r"""SELECT b._commit_version, t.fullkey AS node_path,
        coalesce(nullif(regexp_extract(regexp_replace(t.fullkey, '\[[0-9]+\]$', ''), '^(.*\])', 1), ''), '$') AS parent_path
        FROM (SELECT _commit_version, body_json FROM bronze WHERE json_valid(body_json)) b, json_tree(b.body_json) t
