@@ -199,3 +199,12 @@ def export(df: DataFrame, path: str) -> DataFrame:
     """NDJSON files, one folder per type, and the manifest of counts."""
     live(df).select("resource_type", F.col("body_json").alias("value")).write.mode("overwrite").partitionBy("resource_type").text(path)
     return live(df).groupBy("resource_type").agg(F.count("*").alias("count"))
+
+
+def page_links(base: str, params: list[tuple[str, str]], offset: int, limit: int, total: int) -> dict[str, str]:
+    """Self and, if there are more hits, next links of a page."""
+    from urllib.parse import urlencode
+
+    own = [(k, v) for k, v in params if k not in ("_offset", "_count")]
+    link = lambda at: f"{base}?{urlencode([*own, ('_count', str(limit)), ('_offset', str(at))])}"
+    return {"self": link(offset)} | ({"next": link(offset + limit)} if offset + limit < total else {})

@@ -142,3 +142,43 @@ def transaction(entries: DataFrame, stored: DataFrame) -> DataFrame:
     state = j.select("bundle", "full_url", "resource_id", "reference", to.alias("resolved"), ok.alias("ok"))
     commits = state.groupBy("bundle").agg(F.bool_and("ok").alias("commits"))
     return state.join(commits, "bundle")
+
+
+def invariants(df: DataFrame, rules: dict[str, str], body: str = "body_json") -> tuple[DataFrame, list[str]]:
+    """(``df`` with ``broken``, the names of its broken rules; the rules that can't be evaluated).
+
+    Rules are path expressions that must be true or empty. One outside the view language passes and is listed.
+    """
+    from cairnlake.plans.fhirpath import CompileError, parse
+    from cairnlake.plans.views import _bool, _Context, _Paths
+
+    parsed = df.withColumn("_v", F.try_parse_json(body))
+    ctx = _Context(F.col("_v"), F.try_variant_get("_v", "$.id", "string"), F.lit(0))
+    tests, skipped = [], []
+    for name, path in rules.items():
+        try:
+            holds = _bool(_Paths().value(parse(path), ctx))
+        except CompileError:
+            skipped.append(name)
+            continue
+        tests.append(F.when(F.col("_v").isNotNull() & ~F.coalesce(holds, F.lit(True)), F.array(F.lit(name))).otherwise(F.expr("cast(array() as array<string>)")))
+    broken = F.concat(*tests) if tests else F.expr("cast(array() as array<string>)")
+    return parsed.withColumn("broken", broken).drop("_v"), skipped
+
+
+def required_paths(df: DataFrame, paths: list[str], body: str = "body_json") -> DataFrame:
+    """``df`` with ``missing``: profile paths that a resource lacks; a nested one binds only where its parent is."""
+    parsed = df.withColumn("_v", F.try_parse_json(body))
+    tests = []
+    for path in paths:
+        *above, last = path.split(".")
+        parents = F.array(F.col("_v"))
+        for name in above:
+            parents = F.flatten(F.transform(parents, _step(name)))
+        lacks = F.exists(parents, _lacks(last))
+        tests.append(F.when(F.col("_v").isNotNull() & lacks, F.array(F.lit(path))).otherwise(F.expr("cast(array() as array<string>)")))
+    return parsed.withColumn("missing", F.concat(*tests)).drop("_v")
+
+
+def _lacks(name: str):
+    return lambda p: F.size(_get(p, name)) == 0

@@ -96,6 +96,8 @@ def _bundles(s, d):
     return validation.transaction(e, stored).select("bundle", "resource_id", "resolved", "ok", "commits")
 
 
+RULES = {"named": "name.exists() or identifier.exists()", "known": "birthDate.exists() and gender.exists()", "official": "name.where(use = 'official').exists()", "odd": "name.trace('x')"}
+
 QUERIES = {
     "audit_chain": lambda s, d: audit.chain(_records(s, d)).select("chain", "id", "prev_hash", "hash"),
     "audit_verify": _issues,
@@ -113,6 +115,8 @@ QUERIES = {
     "term_headers": lambda s, d: terminology.system_headers(_concepts(s, d)),
     "valueset_algebra": lambda s, d: terminology.compose(_concepts(s, d), [_expansion(s, d).where("valueset in ('vs-region-0', 'vs-region-1')"), _expansion(s, d).where("valueset = 'vs-region-3'")], [_expansion(s, d).where("display like '%A'")]),
     "validate_structure": _validated,
+    "validate_invariants": lambda s, d: validation.invariants(R.patients(table(s, d, "patient")).where("not coalesce(deleted, false)"), RULES)[0].select("id", F.explode("broken").alias("rule")),
+    "validate_required": lambda s, d: validation.required_paths(R.patients(table(s, d, "patient")).where("not coalesce(deleted, false)"), ["gender", "name.given", "address.city"]).select("id", F.explode("missing").alias("path")),
     "validate_slices": lambda s, d: validation.slices(R.patients(table(s, d, "patient")).where("not coalesce(deleted, false)"), "name", {"official": ({"use": "official"}, 1), "maiden": ({"use": "maiden"}, 1)}).select("id", F.explode("slice_issues").alias("i")).select("id", "i.message"),
     "validate_bindings": lambda s, d: validation.bindings(table(s, d, "customer"), ["c_custkey"], F.expr("array(named_struct('system', 'urn:nations', 'code', cast(c_nationkey as string)), named_struct('system', 'urn:x', 'code', 'y'))"), "vs-region-1", _expansion(s, d), _headers(s, d)),
 }
@@ -150,6 +154,10 @@ ORACLES = {
        UNION ALL SELECT fhir_id, 'Patient.address[' || (i - 1) || '].city', 'required element missing' FROM (SELECT fhir_id, unnest(address) AS a, generate_subscripts(address, 1) AS i FROM p) WHERE a IS NOT NULL AND a.city IS NULL
        UNION ALL SELECT fhir_id, 'Patient.identifier[' || (i - 1) || '].value', 'required element missing' FROM (SELECT fhir_id, unnest(identifier) AS a, generate_subscripts(identifier, 1) AS i FROM p) WHERE a IS NOT NULL AND a.value IS NULL
        UNION ALL SELECT fhir_id, 'Patient.gender', 'not a code' FROM p WHERE NOT regexp_matches(gender, '^[^\\s]+(\\s[^\\s]+)*$')""",
+    "validate_invariants": f"""WITH {P} SELECT fhir_id AS id, 'named' AS rule FROM p WHERE coalesce(len(name), 0) = 0 AND coalesce(len(identifier), 0) = 0
+       UNION ALL SELECT fhir_id, 'known' FROM p WHERE birthDate IS NULL OR gender IS NULL UNION ALL SELECT fhir_id, 'official' FROM p WHERE coalesce(len(list_filter(name, lambda n: n.use = 'official')), 0) = 0""",
+    "validate_required": f"""WITH {P} SELECT fhir_id AS id, 'gender' AS path FROM p WHERE gender IS NULL UNION ALL SELECT fhir_id, 'name.given' FROM p WHERE len(list_filter(name, lambda n: n IS NOT NULL AND coalesce(len(list_filter(n.given, lambda g: g IS NOT NULL)), 0) = 0)) > 0
+       UNION ALL SELECT fhir_id, 'address.city' FROM p WHERE len(list_filter(address, lambda a: a IS NOT NULL AND a.city IS NULL)) > 0""",
     "validate_slices": f"WITH {P} SELECT fhir_id AS id, 'required slice ' || u || ' not met' AS message FROM p, (SELECT unnest(['official', 'maiden']) AS u) WHERE coalesce(len(list_filter(name, lambda n: n.use = u)), 0) < 1",
     "validate_bindings": "SELECT c_custkey, CASE WHEN n_regionkey = 1 THEN 'valid' ELSE 'invalid' END AS status FROM customer JOIN nation ON n_nationkey = c_nationkey",
 }
