@@ -5,9 +5,13 @@ Three kinds of evidence, gathered in one pass over whole texts:
 * *Slots.* Marks that may be an unfilled field, leftover code, a default or a
   blank are located, and the words around each are masked (digits) into a
   context. Records that share a context are aligned on it: where their marks
-  differ, the place is a slot and the mark an unfilled one; where at least
-  ``CONSTANT`` different passages all carry the same mark, it is wording of the
-  template itself (a decision that discusses a field), no slot. Marks in
+  differ, or where another record has the place filled, it is a slot and the
+  mark an unfilled one; where the records of several dockets all carry the same
+  mark and no record fills the place, it is wording of the template itself (a
+  decision that discusses a field), no slot. Filled places are looked for in a
+  second pass over the texts, for contexts of one mark only: the others are
+  slots anyhow. A context without a word of its own (names, numbers and
+  punctuation only) can't be aligned, so its marks are never wording. Marks in
   quotation marks are mentions and dropped at once.
 * *Pages.* Texts without numbered paragraphs are cut into units (lines and
   sentences, digits and hex masked); units that recur over such texts are page
@@ -17,7 +21,10 @@ Three kinds of evidence, gathered in one pass over whole texts:
   sentence repeated.
 
 Contexts and units are counted over all documents with map-side combined
-aggregates; identical copies count once, by their surroundings. Odd cases:
+aggregates; versions and copies of one ruling count once, by docket (where
+there is none, by document) and by the letters of their surroundings. The
+contexts of one mark that several dockets share, and their scanning variants,
+are held by the driver and every worker; nothing else is. Odd cases:
 null, empty and blank texts are never found; repeated rows are found again
 under their id; an empty table gives an empty result; redactions
 (``[REDACTED]``, ``X.____``, blacked words) and signature lines are no marks.
@@ -32,12 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Passages that must agree on a mark before it counts as the template's own wording.
-CONSTANT = 3
 #: Texts without paragraphs that must share a unit before it counts as a page template.
 PAGE = 3
-#: Share of a mark's passages that are constant wording, from which all are.
+#: Share of a mark's dockets that have it as constant wording, from which it is wording at its other places that are never filled.
 WORDING = 0.8
+#: Characters that a filled place may hold.
+FILLING = 80
+#: Characters on either side of a context's word that hold the whole place.
+REACH = 2 * 48 + FILLING + 40
 
 # Words that ask for a field to be filled, in the corpus's languages.
 ASK = r"insert|enter|to be (?:added|inserted|completed|confirmed)|tb[cda]\b|to follow|fill in|einfügen|eintragen|ergänzen|nachtragen|folgt|à compléter|compléter|insérer|à insérer|renseigner|insertar|completar|rellenar|indicar|por completar|●|placeholder|platzhalter"
@@ -170,7 +179,75 @@ def _context(text: str, a: int, b: int) -> str:
     left = re.findall(r"[^\W\d]+|\d+|[^\w\s]", text[max(0, a - 48) : a])[-3:]
     right = re.findall(r"[^\W\d]+|\d+|[^\w\s]", text[b : b + 48])[:3]
     mask = lambda words: " ".join("#" if w[0].isdigit() else "N" if w[0].isupper() else w for w in words)
-    return mask(left) + " | " + mask(right)
+    return mask(left) + "\t" + mask(right)
+
+
+def _passage(text: str, a: int, b: int) -> int:
+    """The letters and digits around a place; line ends and scanning marks don't tell passages apart."""
+    left, right = ("".join(c for c in part.casefold() if c.isalnum()) for part in (text[max(0, a - 160) : a], text[b : b + 160]))
+    return hash_of(left[-60:] + "\x00" + right[:60])
+
+
+#: A context with a word of its own (see ``_words_of``).
+OWN_WORD = r"(?<!\S)(?!N(?!\S))\p{L}"
+
+
+def _words_of(key: str) -> frozenset[str]:
+    """The words of a context that are its own: no names, numbers and punctuation."""
+    return frozenset(w for w in key.split() if w != "N" and w[0].isalpha())
+
+
+def _aligned(key: str) -> re.Pattern:
+    """Finds places that have the context around them; group 1 is what they hold."""
+    letters = r"(?<![^\W\d])%s(?![^\W\d])"
+
+    def side(words: str) -> str:
+        return r"\s*".join(letters % r"(?![a-zß-öø-ÿ])[^\W\d]+" if w == "N" else r"(?<!\d)\d+(?!\d)" if w == "#" else letters % re.escape(w) if w[0].isalpha() else re.escape(w) for w in words.split())
+
+    left, right = key.split("\t")
+    return re.compile(rf"(?s){side(left)}\s*(\S.{{0,{FILLING - 1}}}?)\s*{side(right) or r'(?!.)'}")
+
+
+def _is_filling(value: str) -> bool:
+    return any(c.isalnum() for c in value) and not any(c in "{}<>[]@%«»#$" for c in value) and not _WORD_MARK.search(value)
+
+
+def _fillings(keys: list[str]):
+    """A scan that gives the contexts of ``keys`` that a text has with the place filled."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        # A context is looked for only in texts that hold all its words, the longest of them as the way in.
+        words, by_word = ahocorasick.Automaton(), {}
+        for key in keys:
+            own = [w for w in dict.fromkeys(key.split()) if w not in ("N", "#")]
+            by_word.setdefault(max(_words_of(key), key=lambda w: (len(w), w)), []).append((key, own, _aligned(key)))
+        for w in by_word:
+            words.add_word(w, w)
+        words.make_automaton()
+        left = set(keys)
+        for b in batches:
+            new = []
+            for t in b["text"].to_pylist():
+                at: dict[str, list[int]] = {}
+                for end, w in words.iter(t) if t and left else ():
+                    at.setdefault(w, []).append(end)
+                for w, ends in at.items():
+                    for key, own, how in [k for k in by_word[w] if k[0] in left and all(o in t for o in k[1])]:
+                        # The parts of the text around the word; what is two parts' is one.
+                        parts: list[list[int]] = []
+                        for end in ends:
+                            if parts and end - REACH <= parts[-1][1]:
+                                parts[-1][1] = end + REACH
+                            else:
+                                parts.append([max(0, end - REACH), end + REACH])
+                        if any(_is_filling(m[1]) for a, b in parts for m in how.finditer(t, a, len(t) if key.endswith("\t") else min(b, len(t)))):
+                            left.discard(key)
+                            new.append(key)
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string())], names=["key"])
+
+    return scan
 
 
 def _marks(text: str) -> Iterator[tuple[int, int]]:
@@ -210,8 +287,7 @@ def evidence(doc_id: object, text: str | None, court: str | None, cues: object)
         if filler(_LEAD.sub("", line) if line[:1] in "0123456789[(¶ \t" else line, latin):
             return [(doc_id, "sure", None, None, None)]
     for a, b in _marks(text):
-        place = hash_of(text[max(0, a - 80) : a] + "\x00" + text[b : b + 80])
-        out.append((doc_id, "slot", _context(text, a, b), _mask(text[a:b]), place))
+        out.append((doc_id, "slot", _context(text, a, b), _mask(text[a:b]), _passage(text, a, b)))
     if not _PARAGRAPH.search(text):
         own = (court or "").casefold()
         for unit in {_mask(u.strip()) for line in _LINES.split(text) for u in _SENTENCES.split(line)}:
@@ -226,33 +302,37 @@ def hash_of(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-_SCHEMA = "doc_id bigint, kind string, key string, mark string, place bigint"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("kind", pa.string()), ("key", pa.string()), ("mark", pa.string()), ("place", pa.int64())])
+_SCHEMA = "doc_id bigint, kind string, key string, mark string, place bigint, docket string"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("kind", pa.string()), ("key", pa.string()), ("mark", pa.string()), ("place", pa.int64()), ("docket", pa.string())])
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cues = cue_automaton()
     for b in batches:
         rows: list[tuple] = []
-        for i, t, c in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["court"].to_pylist(), strict=True):
-            rows += evidence(i, t, c, cues)
+        for i, t, c, d in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["court"].to_pylist(), b["docket"].to_pylist(), strict=True):
+            rows += [(*r, d or f"document {i}") for r in evidence(i, t, c, cues)]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_ARROW)], schema=_ARROW)
 
 
 def judged(documents: DataFrame) -> DataFrame:
     """``doc_id`` of each text with residue, one row each."""
-    cols = documents.select("doc_id", "text", F.col("court") if "court" in documents.columns else F.lit(None).cast("string").alias("court"))
+    cols = documents.select("doc_id", "text", *[F.col(c) if c in documents.columns else F.lit(None).cast("string").alias(c) for c in ("court", "docket")])
     ev = cols.mapInArrow(_scan, _SCHEMA)
     ev = ev.checkpoint()  # read three times below; a few rows per suspicious text
     sure = ev.where("kind = 'sure'").select("doc_id")
     slots = ev.where("kind = 'slot'")
-    # One row per context, mark and passage, then per context: a constant context has one mark in several passages.
-    own = slots.groupBy("key", "mark", "place").agg(F.lit(1).alias("one")).groupBy("key", "mark").agg(F.count("*").alias("n"))
-    per = own.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("marks"), F.min("mark").alias("mark"))
-    wording = per.where((F.col("n") >= CONSTANT) & (F.col("marks") == 1))
-    # A mark found nearly only as such wording is wording in its scanning variants, too.
-    said = own.join(wording.select("key", F.lit(True).alias("fixed")), "key", "left").groupBy("mark").agg((F.sum(F.when(F.col("fixed"), F.col("n")).otherwise(0)) >= WORDING * F.sum("n")).alias("said"))
-    unfilled = slots.join(wording.select("key"), "key", "left_anti").join(said.where("said").select("mark"), "mark", "left_anti").select("doc_id")
+    own = slots.groupBy("key", "mark").agg(F.least(F.count_distinct("docket"), F.count_distinct("place")).alias("n"))
+    per = own.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("marks"), F.min("mark").alias("mark")).where("marks = 1").checkpoint()
+    agreed = per.where("n > 1").select("mark").distinct()  # alignment takes two
+    asked = per.join(agreed, "mark", "left_semi").where(F.col("key").rlike(OWN_WORD)).select("key", "n").checkpoint()
+    keys = [r["key"] for r in asked.select("key").collect()]
+    filled = documents.select("text").mapInArrow(_fillings(keys), "key string").distinct() if keys else slots.select("key").limit(0)
+    never = asked.join(filled, "key", "left_anti").checkpoint()
+    # A mark found nearly only as agreed wording is wording in its scanning variants, too, unless they are filled.
+    said = own.join(never.where("n > 1").select("key", F.lit(True).alias("fixed")), "key", "left").groupBy("mark").agg((F.sum(F.when(F.col("fixed"), F.col("n")).otherwise(0)) >= WORDING * F.sum("n")).alias("said")).where("said")
+    wording = never.where("n > 1").select("key").unionByName(per.join(never.select("key"), "key", "left_semi").join(said, "mark", "left_semi").select("key"))
+    unfilled = slots.join(wording, "key", "left_anti").select("doc_id")
     pages = ev.where("kind = 'page'")
     known = pages.groupBy("key", "place").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= PAGE).select("key")
     paged = pages.join(known, "key", "left_semi").select("doc_id")

@@ -122,3 +122,17 @@ def test_page_templates(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path))
     pages = [(i, f"Der Viewer wurde angehalten {i}\nBitte laden Sie neu, Kennung {i}a{i}", None, "") for i in range(4)] + [(9, "A single line of a ruling about a quay.", None, "")]
     assert sorted(r["doc_id"] for r in residue.judged(spark.createDataFrame(pages, DOC)).collect()) == [0, 1, 2, 3]
+
+
+def test_a_filled_place_is_a_slot_whatever_its_default(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    schema = DOC + ", docket string"
+    left = [(i, f"COURT {i}\n1. The judge below, {{{{judge}}}}, found Party {i} to be careful.\n2. Held {i}.", None, "", f"D{i}") for i in range(5)]
+    filled = [(10, "COURT 10\n1. The judge below, Ada Torberg, found Party 10 to be careful.\n2. Held.", None, "", "D10")]
+    versions = [(20 + i, f"COURT 7\n1. The sum of{e}{{{{sum}}}}{e}was paid over late by them.\n2. Held.", None, "", "D20") for i, e in enumerate([" ", "\n", " \n", "\r\n"])]
+    scans = [(30 + i, f"COURT 7\n1. The sum due on{e}{{{{day}}}}{e}was paid over late by them.\n2. Held.", None, "", None) for i, e in enumerate([" ", "\n", " \n", "\r\n"])]
+    fixed = [(40 + i, f"COURT {i}\n1. Party {i} says the merge field {{{{client_name}}}} was printed on {i} letters.\n2. Held {i}.", None, "", f"E{i}") for i in range(3)]
+    left += [(60 + i, f"COURT | list\n1. Costs follow | due by {{{{day}}}} | as agreed in case {i}.\n2. Held.", None, "", f"F{i}") for i in range(2)]
+    filled += [(70, "COURT | list\n1. Costs follow | due by 3 May | as agreed in case 9.\n2. Held.", None, "", "F9")]
+    got = sorted(r["doc_id"] for r in residue.judged(spark.createDataFrame(left + filled + versions + scans + fixed, schema)).collect())
+    assert got == [0, 1, 2, 3, 4, 20, 21, 22, 23, 30, 31, 32, 33, 60, 61]
