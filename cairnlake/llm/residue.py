@@ -14,8 +14,10 @@ Three kinds of evidence, gathered in one pass over whole texts:
   punctuation only) can't be aligned, so its marks are never wording. Marks in
   quotation marks are mentions and dropped at once.
 * *Pages.* Texts without numbered paragraphs are cut into units (lines and
-  sentences, digits and hex masked); units that recur over such texts are page
-  templates, and a text with one of at least three words is a page.
+  sentences, digits masked) of at least three words. Units that recur over
+  the dockets of such texts (over the documents, where there is no docket; so
+  verbatim repeats count) and that decisions with paragraphs hardly have are page
+  templates, and a text with one is a page.
 * *Units.* Error messages and demands for scripts as a unit of their own, and
   filler: units of placeholder Latin, of a few words over and over, or of one
   sentence repeated.
@@ -24,7 +26,8 @@ Contexts and units are counted over all documents with map-side combined
 aggregates; versions and copies of one ruling count once, by docket (where
 there is none, by document) and by the letters of their surroundings. The
 contexts of one mark that several dockets share, and their scanning variants,
-are held by the driver and every worker; nothing else is. Odd cases:
+and the units that may be page templates are held by the driver and every
+worker; nothing else is. Odd cases:
 null, empty and blank texts are never found; repeated rows are found again
 under their id; an empty table gives an empty result; redactions
 (``[REDACTED]``, ``X.____``, blacked words) and signature lines are no marks.
@@ -39,8 +42,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Texts without paragraphs that must share a unit before it counts as a page template.
+#: Dockets of texts without paragraphs that must share a unit before it may be a page template.
 PAGE = 3
+#: Share of these among all dockets with the unit, from which it is one.
+PAGED = 0.8
 #: Share of a mark's dockets that have it as constant wording, from which it is wording at its other places that are never filled.
 WORDING = 0.8
 #: Characters that a filled place may hold.
@@ -74,6 +79,7 @@ LATIN = "lorem ipsum dolor sit amet consec conse adip elit eiusmod tempor incidi
 
 _NUMBER = r"(?:¶ ?\d+|\[\d+\]|\(\d+\)|\d{1,4}\.(?!\d)|\d{1,4}\t)"
 _PARAGRAPH = re.compile(rf"(?m)^\s*{_NUMBER}")
+_UNNUMBERED = re.compile(rf"(?m)^[^\S\n]*{_NUMBER}[^\S\n]*")
 _LEAD = re.compile(rf"^\s*{_NUMBER}\s*")
 _LINES = re.compile(r"[\r\n\x0b\x0c\x85  ]+")
 _SENTENCES = re.compile(r"(?<=[.!?])\s+")
@@ -290,12 +296,27 @@ def evidence(doc_id: object, text: str | None, court: str | None, cues: object)
         out.append((doc_id, "slot", _context(text, a, b), _mask(text[a:b]), _passage(text, a, b)))
     if not _PARAGRAPH.search(text):
         own = (court or "").casefold()
-        for unit in {_mask(u.strip()) for line in _LINES.split(text) for u in _SENTENCES.split(line)}:
-            if unit != own and len(_WORD.findall(unit)) >= 3:
-                out.append((doc_id, "page", unit, None, hash_of(text)))
+        out += [(doc_id, "page", unit, None, None) for unit in _units(text) if unit != own and len(_WORD.findall(unit)) >= 3]
     return out
 
 
+def _units(text: str) -> set[str]:
+    """Lines and sentences, digits masked."""
+    return {_mask(u.strip()) for line in _LINES.split(text) for u in _SENTENCES.split(line)}
+
+
+def _in_decisions(keys: list[str]):
+    """A scan that gives the units of ``keys`` that texts with paragraphs have, with the docket."""
+    wanted = set(keys)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(u, d or f"document {i}") for i, t, d in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["docket"].to_pylist(), strict=True) if t and _PARAGRAPH.search(t) for u in _units(_UNNUMBERED.sub("", t)) & wanted]
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in rows], pa.string()), pa.array([d for _, d in rows], pa.string())], names=["key", "docket"])
+
+    return scan
+
+
 def hash_of(text: str) -> int:
     import xxhash
 
@@ -334,6 +355,10 @@ def judged(documents: DataFrame) -> DataFrame:
     wording = never.where("n > 1").select("key").unionByName(per.join(never.select("key"), "key", "left_semi").join(said, "mark", "left_semi").select("key"))
     unfilled = slots.join(wording, "key", "left_anti").select("doc_id")
     pages = ev.where("kind = 'page'")
-    known = pages.groupBy("key", "place").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= PAGE).select("key")
-    paged = pages.join(known, "key", "left_semi").select("doc_id")
+    known = pages.groupBy("key").agg(F.count_distinct("docket").alias("n")).where(F.col("n") >= PAGE).checkpoint()
+    units = [r["key"] for r in known.select("key").collect()]
+    if units:
+        held = cols.select("doc_id", "text", "docket").mapInArrow(_in_decisions(units), "key string, docket string").groupBy("key").agg(F.count_distinct("docket").alias("held"))
+        known = known.join(held, "key", "left").where(F.col("n") >= PAGED * (F.col("n") + F.coalesce("held", F.lit(0))))
+    paged = pages.join(known.select("key"), "key", "left_semi").select("doc_id")
     return sure.unionByName(unfilled).unionByName(paged).distinct()

@@ -136,3 +136,12 @@ def test_a_filled_place_is_a_slot_whatever_its_default(spark, tmp_path):
     filled += [(70, "COURT | list\n1. Costs follow | due by 3 May | as agreed in case 9.\n2. Held.", None, "", "F9")]
     got = sorted(r["doc_id"] for r in residue.judged(spark.createDataFrame(left + filled + versions + scans + fixed, schema)).collect())
     assert got == [0, 1, 2, 3, 4, 20, 21, 22, 23, 30, 31, 32, 33, 60, 61]
+
+
+def test_verbatim_pages_and_ordinary_sentences(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    pages = [(i, "Der Viewer wurde angehalten, bitte laden Sie neu", None, "") for i in range(4)]
+    short = [(10 + i, f"HIGH COURT\nParty {w} was heard.\nThe appeal is dismissed with costs.", None, "") for i, w in enumerate(["Ada", "Bo", "Cid"])]
+    long = [(20 + i, f"HIGH COURT\n1. The {w} is old.\n2. The appeal is dismissed with costs.", None, "") for i, w in enumerate(["quay", "mill", "barn", "weir"])]
+    got = sorted(r["doc_id"] for r in residue.judged(spark.createDataFrame(pages + short + long, DOC)).collect())
+    assert got == [0, 1, 2, 3]
