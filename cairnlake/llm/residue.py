@@ -288,7 +288,7 @@ def evidence(doc_id: object, text: str | None, court: str | None, cues: object)
     if "<noscript" in low or error_text(text, low, hits):
         return [(doc_id, "sure", None, None, None)]
     for line in _LINES.split(text):
-        if len(line) > 500 and (_RUN.search(line) or any(filler(u, latin) for u in _SENTENCES.split(line)) or _twice(line)):
+        if _RUN.search(line) or any(filler(u, latin) for u in _SENTENCES.split(line)) or _twice(line):
             return [(doc_id, "sure", None, None, None)]
         if filler(_LEAD.sub("", line) if line[:1] in "0123456789[(¶ \t" else line, latin):
             return [(doc_id, "sure", None, None, None)]

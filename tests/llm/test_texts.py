@@ -145,3 +145,12 @@ def test_verbatim_pages_and_ordinary_sentences(spark, tmp_path):
     long = [(20 + i, f"HIGH COURT\n1. The {w} is old.\n2. The appeal is dismissed with costs.", None, "") for i, w in enumerate(["quay", "mill", "barn", "weir"])]
     got = sorted(r["doc_id"] for r in residue.judged(spark.createDataFrame(pages + short + long, DOC)).collect())
     assert got == [0, 1, 2, 3]
+
+
+def test_filler_between_sentences_in_lines_of_any_length():
+    cues = residue.cue_automaton()
+    real = "The lease ran for ten years. {} The landlord then gave notice in writing to each of the tenants."
+    for bad in ("Lorem ipsum dolor sit amet consectetur adipiscing elit.", "The rent was test test test test a year.", "This is sample text. This is sample text."):
+        for more in ("", " The court heard both parties at length on the point of notice." * 9):
+            assert [e[1] for e in residue.evidence(1, "COURT\n1. " + real.format(bad) + more + "\n2. Held.", None, cues)] == ["sure"]
+    assert residue.evidence(1, "COURT\n1. " + real.format("It was, it was said, no bar.") + "\n2. Held.", None, cues) == []
