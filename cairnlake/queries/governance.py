@@ -29,6 +29,14 @@ def _approved(s, d):
     return G.apply_decisions(reviews, p, done, NOW)
 
 
+def _approved_all(s, d):
+    """A review of every customer with the one as many numbers on as its nation says; those above the customers' are missing, those in debt are merged already."""
+    c = table(s, d, "customer").withColumn("other", F.col("c_custkey") + 1 + F.col("c_nationkey"))
+    reviews = c.select(F.col("c_custkey").cast("string").alias("review_id"), F.concat_ws(",", F.col("c_custkey").cast("string"), F.col("other").cast("string")).alias("candidate_ids"))
+    done = c.where("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("survivor"), F.col("other").cast("string").alias("merged"))
+    return G.apply_decisions(reviews, persons(table(s, d, "customer")).select("id", "last_updated"), done, NOW)
+
+
 def _bodies(s, d):
     """Observation bodies with the subjects of even patients led to one survivor; the references of the results."""
     o = R.observations(table(s, d, "observation")).where("not coalesce(deleted, false)").select("id", "body_json")
@@ -42,6 +50,8 @@ QUERIES = {
     "mdm_review_rows": lambda s, d: G.review_rows(_log(s, d)[1], NOW).select("candidate_ids", "suggested_action", "status"),
     "mdm_apply_decisions": lambda s, d: _approved(s, d)[0].select("review_id", "survivor", "merged"),
     "mdm_apply_errors": lambda s, d: _approved(s, d)[1],
+    "mdm_apply_decisions_all": lambda s, d: _approved_all(s, d)[0].select("review_id", "survivor", "merged"),
+    "mdm_apply_errors_all": lambda s, d: _approved_all(s, d)[1],
     "mdm_provenance": lambda s, d: G.provenance(I.resolve(persons(table(s, d, "customer"))), "merge", "resolver", NOW).select(F.get_json_object("body_json", "$.target[0].reference").alias("survivor"), F.get_json_object("body_json", "$.target[1].reference").alias("merged")),
     "audit_event_class": lambda s, d: table(s, d, "events").select("event_id", *[c.alias(n) for c, n in zip(G.event_class(F.expr("element_at(array('GET', 'POST', 'PUT', 'DELETE', 'TRACE'), cast(event_id % 5 as int) + 1)"), F.expr("cast(200 + 100 * (event_id % 4) as int)")), ("action", "outcome"), strict=True)]),
     "search_elements": lambda s, d: G.subset(R.observations(table(s, d, "observation")).where("not coalesce(deleted, false)").select("id", "body_json"), ["status"]).select("id", F.get_json_object("body_json", "$.status").alias("status"), F.expr("json_object_keys(body_json)").alias("keys")).select("id", "status", F.size("keys").alias("n_keys")),
@@ -55,6 +65,9 @@ ORACLES = {
     "mdm_apply_decisions": """WITH x AS (SELECT c_custkey AS k, '2024-01-' || lpad((c_custkey % 28 + 1)::varchar, 2, '0') AS ta, '2024-01-' || lpad(((c_custkey + 1) % 28 + 1)::varchar, 2, '0') AS tb FROM customer WHERE c_custkey % 20 = 1 AND c_custkey % 60 <> 1 AND c_custkey + 1 IN (SELECT c_custkey FROM customer)),
        m AS (SELECT k::varchar AS review_id, (CASE WHEN ta >= tb THEN k ELSE k + 1 END)::varchar AS survivor, (CASE WHEN ta >= tb THEN k + 1 ELSE k END)::varchar AS merged, k FROM x) SELECT review_id, survivor, merged FROM m WHERE NOT (k % 100 = 21 AND survivor = k::varchar)""",
     "mdm_apply_errors": "SELECT c_custkey::varchar AS review_id, 'patient missing' AS error FROM customer WHERE c_custkey % 60 = 1",
+    "mdm_apply_decisions_all": """WITH x AS (SELECT a.c_custkey AS k, b.c_custkey AS o, a.c_acctbal AS debt, '2024-01-' || lpad((a.c_custkey % 28 + 1)::varchar, 2, '0') AS ta, '2024-01-' || lpad((b.c_custkey % 28 + 1)::varchar, 2, '0') AS tb FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1 + a.c_nationkey)
+       SELECT k::varchar AS review_id, (CASE WHEN ta >= tb THEN k ELSE o END)::varchar AS survivor, (CASE WHEN ta >= tb THEN o ELSE k END)::varchar AS merged FROM x WHERE NOT (debt < 0 AND ta >= tb)""",
+    "mdm_apply_errors_all": "SELECT c_custkey::varchar AS review_id, 'patient missing' AS error FROM customer WHERE c_custkey + 1 + c_nationkey NOT IN (SELECT c_custkey FROM customer)",
     "mdm_provenance": f"{_RES} SELECT 'Patient/' || survivor AS survivor, 'Patient/' || merged AS merged FROM res WHERE survivor IS NOT NULL",
     "audit_event_class": "SELECT event_id, ['R', 'C', 'U', 'D', 'E'][(event_id % 5)::int + 1] AS action, ['0', '0', '4', '8'][(event_id % 4)::int + 1] AS outcome FROM events",
     "search_elements": f"WITH {O} SELECT fhir_id AS id, status, (2 + (status IS NOT NULL)::int)::int AS n_keys FROM o",

@@ -63,10 +63,10 @@ def _validated(s, d):
     return v.select("id", F.explode("issues").alias("i")).select("id", "i.path", "i.message")
 
 
-def _requests(s, d):
-    c = persons(table(s, d, "customer"))
-    k = F.col("id").cast("bigint")
-    return c.where(k % 3 == 0).select(F.col("id").alias("request"), F.array(F.concat(F.lit("mrn|"), F.when(k % 2 == 0, F.col("id")))).alias("keys"), "family", F.col("birthDate").alias("birth_date"), "gender")
+def _requests(s, d, which="k % 3 = 0"):
+    c = persons(table(s, d, "customer")).withColumn("k", F.col("id").cast("bigint"))
+    k = F.col("k")
+    return c.where(which).select(F.col("id").alias("request"), F.array(F.concat(F.lit("mrn|"), F.when(k % 2 == 0, F.col("id")))).alias("keys"), "family", F.col("birthDate").alias("birth_date"), "gender")
 
 
 def _members(s, d):
@@ -96,6 +96,14 @@ def _bundles(s, d):
     return validation.transaction(e, stored).select("bundle", "resource_id", "resolved", "ok", "commits")
 
 
+def _bundles_all(s, d):
+    """Every order and every customer; an order that refers to a customer names its own number, so numbers above the customers' are missing."""
+    k = F.col("o_orderkey")
+    e = table(s, d, "orders").select(F.col("o_custkey").alias("bundle"), F.concat(F.lit("urn:uuid:"), k.cast("string")).alias("full_url"), F.concat(F.lit("Order/"), k.cast("string")).alias("resource_id"), F.when(k % 3 == 0, F.concat(F.lit("urn:uuid:"), k.cast("string"))).when(k % 3 == 1, F.concat(F.lit("Customer/"), k.cast("string"))).alias("reference"))
+    stored = table(s, d, "customer").select(F.concat(F.lit("Customer/"), F.col("c_custkey").cast("string")).alias("key"))
+    return validation.transaction(e, stored).select("bundle", "resource_id", "resolved", "ok", "commits")
+
+
 RULES = {"named": "name.exists() or identifier.exists()", "known": "birthDate.exists() and gender.exists()", "official": "name.where(use = 'official').exists()", "odd": "name.trace('x')"}
 
 QUERIES = {
@@ -108,7 +116,9 @@ QUERIES = {
     "consent_override": _override,
     "consent_redact": lambda s, d: consent.redact(persons(table(s, d, "customer")).select("id", "family", "birthDate"), ["birthDate"], F.col("id").cast("bigint") % 23 == 0),
     "member_match": lambda s, d: consent.member_match(_requests(s, d), _members(s, d)),
+    "member_match_all": lambda s, d: consent.member_match(_requests(s, d, "true"), _members(s, d)),
     "transaction_refs": _bundles,
+    "transaction_refs_all": _bundles_all,
     "term_membership3": lambda s, d: terminology.membership(_asked(s, d), _expansion(s, d), _headers(s, d)).select("c_custkey", "status", "display"),
     "term_lookup": lambda s, d: terminology.lookup(table(s, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 5 == 0, "urn:other").otherwise("urn:nations").alias("system"), (F.col("c_nationkey") + F.col("c_custkey") % 3).cast("string").alias("code")), _concepts(s, d)).select("c_custkey", "status", "display"),
     "term_expand_filter": lambda s, d: terminology.expand(_expansion(s, d), "vs-region-1", "a"),
@@ -142,6 +152,10 @@ ORACLES = {
     "consent_redact": f"WITH {PERSONS_SQL} SELECT id, family, CASE WHEN k % 23 <> 0 THEN birthDate END AS birthDate, k % 23 = 0 AS redacted FROM persons",
     "member_match": f"""WITH {PERSONS_SQL}, q AS (SELECT * FROM persons WHERE k % 3 = 0), dm AS (SELECT q.id AS request, count(*) AS n, min(m.id) AS m FROM q JOIN persons m ON q.family = m.family AND q.birthDate = m.birthDate AND q.gender = m.gender GROUP BY q.id)
        SELECT q.id AS request, CASE WHEN k % 2 = 0 THEN q.id WHEN dm.n = 1 THEN dm.m END AS member, CASE WHEN k % 2 = 0 THEN 'identifier' WHEN dm.n > 0 THEN 'demographics' END AS strategy, CASE WHEN k % 2 = 0 THEN 1 ELSE coalesce(dm.n, 0) END AS hits FROM q LEFT JOIN dm ON dm.request = q.id""",
+    "member_match_all": f"""WITH {PERSONS_SQL}, dm AS (SELECT q.id AS request, count(*) AS n, min(m.id) AS m FROM persons q JOIN persons m ON q.family = m.family AND q.birthDate = m.birthDate AND q.gender = m.gender GROUP BY q.id)
+       SELECT q.id AS request, CASE WHEN k % 2 = 0 THEN q.id WHEN dm.n = 1 THEN dm.m END AS member, CASE WHEN k % 2 = 0 THEN 'identifier' WHEN dm.n > 0 THEN 'demographics' END AS strategy, CASE WHEN k % 2 = 0 THEN 1 ELSE coalesce(dm.n, 0) END AS hits FROM persons q LEFT JOIN dm ON dm.request = q.id""",
+    "transaction_refs_all": """WITH r AS (SELECT o_custkey AS bundle, 'Order/' || o_orderkey AS resource_id, CASE WHEN o_orderkey % 3 = 0 THEN 'Order/' || o_orderkey WHEN o_orderkey % 3 = 1 AND c_custkey IS NOT NULL THEN 'Customer/' || c_custkey END AS resolved, o_orderkey % 3 <> 1 OR c_custkey IS NOT NULL AS ok
+       FROM orders LEFT JOIN customer ON c_custkey = o_orderkey) SELECT *, bool_and(ok) OVER (PARTITION BY bundle) AS commits FROM r""",
     "transaction_refs": """WITH e AS (SELECT o_custkey AS bundle, o_orderkey AS k FROM orders), r AS (SELECT bundle, 'Order/' || k AS resource_id, CASE WHEN k % 3 = 0 THEN 'Order/' || k WHEN k % 3 = 1 AND k % 200 BETWEEN 0 AND least(190, (SELECT max(c_custkey) FROM customer)) THEN 'Customer/' || (k % 200) END AS resolved,
        k % 3 <> 1 OR k % 200 BETWEEN 0 AND least(190, (SELECT max(c_custkey) FROM customer)) AS ok FROM e) SELECT *, bool_and(ok) OVER (PARTITION BY bundle) AS commits FROM r""",
     "term_membership3": """SELECT c_custkey, CASE WHEN n_name IS NOT NULL THEN 'valid' WHEN c_custkey % 7 >= 5 OR c_custkey % 7 = 2 THEN 'unknown' ELSE 'invalid' END AS status, n_name AS display FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_regionkey = c_custkey % 7""",
