@@ -8,9 +8,7 @@ operations and never match a point read; repeated rows are repeated versions.
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnlake.operators.changefeed import KEY, latest
@@ -58,22 +56,51 @@ def history_system(tables: list[DataFrame]) -> DataFrame:
     return out.select("resource_type", "id", "version_id", "_commit_version", "last_updated", *history_entry()).orderBy(F.col("last_updated").desc_nulls_first(), F.col("id").desc_nulls_first(), "_commit_version")
 
 
+#: Resources that may be joined by broadcast because they have so many rows.
+HOT_KEYS = 500
+
+
 def backfill_current(df: DataFrame) -> DataFrame:
-    """``is_current`` set from the data: the highest version of each resource."""
-    w = Window.partitionBy(*KEY)
-    return df.withColumn("is_current", F.coalesce(F.col("version_id") == F.max("version_id").over(w), F.lit(False)))
+    """``is_current`` set from the data: the highest version of each resource; null keys are a resource of their own.
+
+    The highest versions are a map-side combined aggregate. Rows of the at most ``HOT_KEYS`` resources
+    that have more than a thousandth of all rows get theirs by broadcast and aren't shuffled.
+    """
+    tips = df.groupBy(*KEY).agg(F.max("version_id").alias("_tip"), F.count("*").alias("_n")).persist()
+    enough = tips.agg(F.sum("_n")).first()[0] or 0
+    hot = tips.where(F.col("_n") > enough // 1000 + 1000).orderBy(F.col("_n").desc()).limit(HOT_KEYS)
+    keys = hot.collect()
+
+    def tipped(rows: DataFrame, tip: DataFrame) -> DataFrame:
+        cond = F.lit(True)
+        for k in KEY:
+            cond = cond & rows[k].eqNullSafe(tip[f"_{k}"])
+        return rows.join(tip, cond).withColumn("is_current", F.coalesce(F.col("version_id") == F.col("_tip"), F.lit(False))).select(*df.columns)
+
+    named = tips.select(*[F.col(k).alias(f"_{k}") for k in KEY], "_tip")
+    if not keys:
+        return tipped(df, named)
+    few = df.sparkSession.createDataFrame([tuple(r[k] for k in KEY) + (r["_tip"],) for r in keys], named.schema)
+    flag = F.broadcast(few.select(*[F.col(f"_{k}").alias(f"h_{k}") for k in KEY], F.lit(True).alias("_hot")))
+    cond = F.lit(True)
+    for k in KEY:
+        cond = cond & df[k].eqNullSafe(flag[f"h_{k}"])
+    return tipped(df, F.broadcast(few)).unionByName(tipped(df.join(flag, cond, "left_anti"), named))
 
 
 def upsert(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
     """MERGE with update-all and insert-all: source rows replace target rows of their key.
 
-    Keys are compared null-safe. The source should have one row per key.
+    Keys are compared null-safe. A key that the source has twice is an error when the result is computed.
     """
     cond = F.lit(True)
     t, s = target.alias("t"), source.select(*key).distinct().alias("s")
     for k in key:
         cond = cond & F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}"))
-    return t.join(s, cond, "left_anti").unionByName(source, allowMissingColumns=True)
+    twice = F.raise_error(F.concat_ws(" ", F.lit("several source rows for the key"), *[F.col(k).cast("string") for k in key]))
+    w = Window.partitionBy(*key)
+    single = source.withColumn("_n", F.count(F.lit(1)).over(w)).where(F.when(F.col("_n") > 1, twice.cast("boolean")).otherwise(True)).drop("_n")
+    return t.join(s, cond, "left_anti").unionByName(single, allowMissingColumns=True)
 
 
 def append_versions(df: DataFrame, writes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -96,49 +123,3 @@ def append_versions(df: DataFrame, writes: DataFrame) -> tuple[DataFrame, DataFr
 def delete_where(df: DataFrame, predicate: Column | None = None) -> DataFrame:
     """Rows left after a predicate delete; without predicate none; null predicates delete nothing."""
     return df.limit(0) if predicate is None else df.where(~F.coalesce(predicate, F.lit(False)))
-
-
-class VersionedTable:
-    """A table in a folder of version directories: each write is a new one, then the pointer moves.
-
-    Readers keep the version they started with; old versions go by ``vacuum``.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark._jvm
-        self._fs = jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-        self._p = jvm.org.apache.hadoop.fs.Path
-
-    def versions(self) -> list[str]:
-        if not self._fs.exists(self._p(self.path)):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._p(self.path))]
-        return sorted(n for n in names if n.startswith("v") and self._fs.exists(self._p(f"{self.path}/{n}/_SUCCESS")))
-
-    def read(self, version: int = -1) -> DataFrame | None:
-        """The newest (or a numbered) version; None if nothing was written yet."""
-        names = self.versions()
-        return self.spark.read.parquet(f"{self.path}/{names[version]}") if names else None
-
-    def write(self, df: DataFrame, mode: str = "overwrite", sort_by: str | None = None) -> str:
-        """Append or overwrite (which also replaces the schema). ``sort_by`` clusters the files by a column."""
-        old = self.read() if mode == "append" else None
-        out = df if old is None else old.unionByName(df, allowMissingColumns=True)
-        if sort_by:
-            out = out.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
-        name = f"v{len(self.versions()):08d}-{uuid.uuid4().hex[:8]}"
-        out.write.parquet(f"{self.path}/{name}")
-        return name
-
-    def compact(self, sort_by: str = "id") -> str | None:
-        """Rewrite the newest version clustered by a column, so scans skip files by its bounds."""
-        now = self.read()
-        return None if now is None else self.write(now, sort_by=sort_by)
-
-    def vacuum(self, keep: int = 1) -> int:
-        """Drop all but the newest versions."""
-        gone = self.versions()[:-keep] if keep else self.versions()
-        for n in gone:
-            self._fs.delete(self._p(f"{self.path}/{n}"), True)
-        return len(gone)

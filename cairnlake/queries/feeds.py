@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from cairnlake.operators import changefeed, promote
 from cairnlake.operators.identity import resolve
-from cairnlake.operators.store import VersionedTable
 from cairnlake.operators.synthetic import persons
 from cairnlake.queries.identity import _RES
 from cairnlake.session import shared_dir
 from cairnlake.sources.tables import table
+from cairnlake.sources.versioned import VersionedTable
 from cairnlake.streaming import feed
 
 ELEMENTS = {"status": "code", "resourceType": "code", "item": "json", "meta": "json"}
@@ -22,34 +22,35 @@ def _dir(s, name):
     return f"{shared_dir(s)}/{name}-{uuid.uuid4().hex}"
 
 
-def _feed_folder(s, d):
-    """The feed as a folder of several files, as deliveries would make it."""
-    at = _dir(s, "feed")
-    table(s, d, "bronze").select("resource_type", "id", "version_id", "_commit_version", "deleted").repartitionByRange(6, "_commit_version").write.parquet(at)
-    return at
-
-
 def _incremental(s, d):
-    at = _feed_folder(s, d)
-    stream = feed.read_stream(s, at, s.read.parquet(at), files=2)
-    target = VersionedTable(s, _dir(s, "current"))
-    feed.incremental(stream, target, _dir(s, "cp"))
+    """The feed in fifteen deliveries, a seventh of it delivered once more three deliveries later."""
+    b = table(s, d, "bronze").select("resource_type", "id", "version_id", "_commit_version", "deleted")
+    most = b.agg(F.max("_commit_version")).first()[0] or 0
+    b = b.withColumn("delivery", F.floor(F.col("_commit_version") * 12 / F.lit(most + 1)).cast("int"))
+    again = b.where("_commit_version % 7 = 3").withColumn("delivery", F.col("delivery") + 3)
+    at = _dir(s, "feed")
+    feed.deliver(b.unionByName(again), at, "delivery")
+    target = VersionedTable(s, _dir(s, "current"), buckets=8)
+    feed.incremental(feed.read_stream(s, at, b, files=1), target, _dir(s, "cp"))
     return target.read().where("not coalesce(deleted, false)").select("resource_type", "id", "version_id", "_commit_version")
 
 
-def _events(s, d):
+def _events(s, d, late=True):
+    """The events as a stream of two days a delivery; of those of the first 22 days, every twentieth comes eight days late."""
     e = table(s, d, "events")
     at = _dir(s, "events")
-    e.where("event_id >= 0").write.parquet(at)
-    return feed.read_stream(s, at, e, files=100)
+    own = F.least(F.floor((F.dayofmonth("ts") - 1) / 2), F.lit(14)).cast("int")
+    x = e.withColumn("delivery", F.when((F.col("event_id") % 20 == 7) & (own < 11) & late, own + 4).otherwise(own))
+    feed.deliver(x, at, "delivery")
+    return feed.read_stream(s, at, x, files=1)
 
 
-def _batch(query):
-    return lambda s, d: query(table(s, d, "events"))
+def _windowed(query):
+    return lambda s, d: feed.collect_stream(query(_events(s, d)), _dir(s, "out"), _dir(s, "cp"))
 
 
 def _fixed(s, d):
-    return feed.collect_stream(feed.fixed_windows(_events(s, d), 86400), _dir(s, "out"), _dir(s, "cp"), "append")
+    return feed.collect_stream(feed.fixed_windows(_events(s, d, late=False), 86400), _dir(s, "out"), _dir(s, "cp"), "append")
 
 
 def _merged(s, d):
@@ -68,12 +69,13 @@ QUERIES = {
     "promote_schema_drift": lambda s, d: promote.schema_drift(table(s, d, "part").select(F.col("p_partkey").cast("string").alias("key"), F.col("p_brand").alias("hash")).where("key % 10 <> 3"), table(s, d, "part").select(F.col("p_partkey").cast("string").alias("key"), F.expr("if(p_partkey % 7 = 0, 'x', p_brand)").alias("hash")).where("key % 10 <> 4")),
     "stream_incremental_upsert": _incremental,
     "stream_fixed_window": _fixed,
-    "stream_tumbling": _batch(lambda e: feed.tumbling(e, "1 day", "1 hour")),
-    "stream_sliding": _batch(lambda e: feed.sliding(e, "2 days", "1 day", "1 hour")),
-    "stream_session": _batch(lambda e: feed.sessions(e, "12 hours", "1 hour")),
+    "stream_tumbling": _windowed(lambda e: feed.tumbling(e, "1 day", "1 hour")),
+    "stream_sliding": _windowed(lambda e: feed.sliding(e, "2 days", "1 day", "1 hour")),
+    "stream_session": _windowed(lambda e: feed.sessions(e, "12 hours", "1 hour")),
 }
 
 _LAST = "last AS (SELECT * FROM bronze WHERE id IS NOT NULL AND resource_type IS NOT NULL QUALIFY row_number() OVER (PARTITION BY resource_type, id ORDER BY version_id DESC NULLS LAST, _commit_version DESC) = 1)"
+_TIMELY = "WITH mark AS (SELECT max(ts) - INTERVAL 1 HOUR AS t FROM events), e AS (SELECT * FROM events WHERE NOT (event_id % 20 = 7 AND (day(ts) - 1) // 2 < 11))"
 ORACLES = {
     "promote_gold": f"WITH {_LAST} SELECT resource_type, id, version_id FROM last WHERE NOT coalesce(deleted, false)",
     "promote_merge_gold": f"WITH {_LAST} SELECT resource_type, id, version_id, _commit_version FROM last WHERE NOT coalesce(deleted, false)",
@@ -89,7 +91,8 @@ ORACLES = {
     "stream_fixed_window": """WITH RECURSIVE e AS (SELECT user_id, epoch(ts)::bigint AS t, row_number() OVER (PARTITION BY user_id ORDER BY epoch(ts)::bigint) AS k FROM (SELECT user_id, date_trunc('second', ts) AS ts FROM events)),
        w AS (SELECT user_id, t, k, t AS window_start, 1::bigint AS hits FROM e WHERE k = 1 UNION ALL SELECT e.user_id, e.t, e.k, CASE WHEN e.t >= w.window_start + 86400 THEN e.t ELSE w.window_start END, CASE WHEN e.t >= w.window_start + 86400 THEN 1 ELSE w.hits + 1 END FROM w JOIN e ON e.user_id = w.user_id AND e.k = w.k + 1)
        SELECT user_id, t, window_start, hits FROM w""",
-    "stream_tumbling": "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY ALL",
-    "stream_sliding": "SELECT date_trunc('day', ts) - to_days(k::int) AS start, count(*) AS n FROM events, (SELECT unnest([0, 1]) AS k) GROUP BY ALL",
-    "stream_session": "WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS s FROM events), g AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts, s ROWS UNBOUNDED PRECEDING) AS n FROM e) SELECT user_id, min(ts) AS start, count(*) AS n FROM g GROUP BY user_id, g.n",
+    # Windows that ended an hour before the newest event, without the late events.
+    "stream_tumbling": f"{_TIMELY} SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, sum(value) AS total FROM e GROUP BY date_trunc('day', ts), event_type HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT t FROM mark)",
+    "stream_sliding": f"{_TIMELY} SELECT date_trunc('day', ts) - to_days(k::int) AS start, count(*) AS n FROM e, (SELECT unnest([0, 1]) AS k) GROUP BY date_trunc('day', ts) - to_days(k::int) HAVING date_trunc('day', ts) - to_days(k::int) + INTERVAL 2 DAY <= (SELECT t FROM mark)",
+    "stream_session": f"{_TIMELY}, b AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS s FROM e), g AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts, s ROWS UNBOUNDED PRECEDING) AS n FROM b) SELECT user_id, min(ts) AS start, count(*) AS n FROM g GROUP BY user_id, g.n HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT t FROM mark)",
 }

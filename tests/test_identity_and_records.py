@@ -135,14 +135,7 @@ def test_search_conditions(spark):
 
 
 def test_store_writes(spark, tmp_path):
-    t = store.VersionedTable(spark, str(tmp_path / "t"))
-    assert t.read() is None and t.compact() is None
     df = spark.range(10).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("v"))
-    t.write(df)
-    t.write(df.withColumn("w", F.lit("x")), mode="append")
-    assert t.read().count() == 20 and t.read().where("w is null").count() == 10 and t.read(0).columns == ["id", "v"]
-    t.compact("id")
-    assert t.vacuum(1) == 2 and t.read().count() == 20
     assert store.delete_where(df).count() == 0 and store.delete_where(df, F.col("id") > "5").count() == 6 and store.delete_where(df, F.lit(None).cast("boolean")).count() == 10
     assert sorted(map(tuple, store.upsert(df.where("id < 3"), df.where("id in (2, 9)").withColumn("v", F.lit(2)), ["id"]).collect())) == [("0", 1), ("1", 1), ("2", 2), ("9", 2)]
 
