@@ -227,8 +227,16 @@ class _Paths:
         raise CompileError(f"function {name} isn't part of the view language")
 
 
+_DATE = r"\d{4}(-(0[1-9]|1[0-2])(-(0[1-9]|[12]\d|3[01]))?)?"
+_CLOCK = r"([01]\d|2[0-3])(:[0-5]\d(:[0-5]\d(\.\d+)?)?)?"
+# The standard's forms of dates and times.
+BOUNDED = {"date": rf"^{_DATE}$", "time": rf"^{_CLOCK}$", "dateTime": rf"^{_DATE}(T{_CLOCK}(Z|[+-]\d\d:\d\d)?)?$"}
+
+
 def boundary(text: Column, low: bool, kind: str | None) -> Column:
-    """The least or greatest value that a value of its written precision can stand for."""
+    """The least or greatest value that a value of its written precision can stand for; null if it has no form of its type."""
+    form = BOUNDED.get("dateTime" if kind == "instant" else kind or "")
+    text = F.when(text.rlike(form), text) if form else text
     n = F.length(text)
     if kind == "time":
         rest = ["00", "00", "000"] if low else ["59", "59", "999"]
@@ -359,23 +367,26 @@ class View:
     def _descend(self, trees: list[tuple], ctx: _Context) -> Column:
         """Nodes below the context by any of the paths at any depth, in document order.
 
-        A fold over as many steps as the node's text has objects takes the first
-        open node and puts its children in its place.
+        A fold over the levels: each step replaces the nodes of the last level by their children, which
+        carry the ordinals that lead to them; the ordinals' order is the document's. There are as many
+        steps as the text can hold objects, but a step without open nodes hands on what it got.
         """
+        level = "array<struct<at:string,node:variant>>"
 
-        def children(x: Column) -> Column:
-            return F.concat(*[_coll(self.paths.value(t, replace(ctx, node=x))) for t in trees])
-
-        text = ctx.node.cast("string")
-        steps = F.length(text) - F.length(F.translate(text, "{", "")) + 1
+        def children(at: Column, x: Column) -> Column:
+            found = F.concat(*[_coll(self.paths.value(t, replace(ctx, node=x))) for t in trees])
+            return F.transform(found, lambda n, i: F.struct(F.concat(at, F.lpad(F.hex(i), 8, "0")).alias("at"), n.alias("node")))
 
         def step(acc: Column, _: Column) -> Column:
-            head = F.get(acc["open"], 0)
-            more = F.concat(children(head), F.slice(acc["open"], 2, F.greatest(F.size(acc["open"]) - 1, F.lit(0))))
-            return F.when(F.size(acc["open"]) == 0, acc).otherwise(F.struct(more.alias("open"), F.concat(acc["done"], F.array(head)).alias("done")))
+            new = F.flatten(F.transform(acc["open"], lambda e: children(e["at"], e["node"])))
+            return F.when(F.size(acc["open"]) == 0, acc).otherwise(F.struct(new.alias("open"), F.concat(acc["done"], acc["open"]).alias("done")))
 
-        start = F.struct(children(ctx.node).alias("open"), _empty().alias("done"))
-        return F.when(ctx.node.isNull(), _empty()).otherwise(F.reduce(F.sequence(F.lit(1), F.coalesce(steps, F.lit(1))), start, step, lambda acc: acc["done"]))
+        text = ctx.node.cast("string")
+        steps = F.length(text) - F.length(F.translate(text, "{", ""))
+        start = F.struct(children(F.lit(""), ctx.node).alias("open"), F.expr(f"cast(array() as {level})").alias("done"))
+        found = F.reduce(F.sequence(F.lit(0), F.coalesce(steps, F.lit(0))), start, step, lambda acc: acc["done"])
+        ordered = F.array_sort(found, lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).otherwise(0))
+        return F.when(ctx.node.isNull(), _empty()).otherwise(F.transform(ordered, lambda e: e["node"]))
 
     def _body(self, it: dict, ctx: _Context) -> Column:
         parts: list[tuple[Column, list[str]]] = []

@@ -32,8 +32,10 @@ def test_columns_and_choice(spark):
 
 
 def test_where_and_three_values(spark):
-    v = {"resource": "Patient", "select": [cols(ID)], "where": [{"path": "active = true or active.empty()"}]}
-    assert rows(spark, v) == [("1",), ("3",)]
+    v = {"resource": "Patient", "select": [cols(ID)], "where": [{"path": "name.use = 'official' or birthDate.empty() and deceased.ofType(boolean).not()"}]}
+    assert rows(spark, v) == [("1",)]
+    v["where"] = [{"path": "deceased.ofType(boolean) or extension.exists()"}]
+    assert rows(spark, v) == [("2",), ("3",)]
 
 
 def test_iteration_keeps_or_drops_empty_ones(spark):
