@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cairnlake.session import shared_dir
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``component`` (its smallest node) of every node of an edge list.
 
     Each round takes the smallest label among a node's neighbours (a map-side
@@ -21,7 +21,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     e = edges.select(F.col(a).alias("x"), F.col(b).alias("y"))
     both = e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y"))).where("x is not null").distinct().checkpoint()
     labels = both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("label")).checkpoint()
-    for _ in range(rounds):
+    while True:  # labels only get smaller, so this ends; never before all have settled
         near = both.where("y is not null").join(labels.withColumnRenamed("x", "y"), "y").groupBy("x").agg(F.min("label").alias("near"))
         step = labels.join(near, "x", "left").select("x", F.least("label", F.coalesce("near", "label")).alias("label"), F.col("label").alias("old"))
         jump = step.select(F.col("x").alias("label"), F.col("label").alias("top"))

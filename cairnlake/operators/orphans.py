@@ -3,13 +3,13 @@
 Every id is split into a stem and a trailing run of at most 15 hex digits. The
 stem with the type and the digits' count names a key space, the digits are an
 integer in it; together they are the id again, so equality of (space, integer)
-is equality of ids. Parents and the *distinct* referenced keys are range
-partitioned by (space, integer) together. In each partition the live parents'
-sorted integers are compressed into contiguous runs (start, end, place of the
-first one's time); each referenced key is as-of matched to the preceding run's
-start and has no parent if it lies beyond that run's end. Equal keys always
-meet in one partition and a run that a boundary cuts is two runs, so nothing
-is carried between partitions.
+is equality of ids. Parents and the *distinct* referenced keys are partitioned
+by space and block of 4096 integers together and sorted. The live parents'
+integers are compressed into contiguous runs (start, end, place of the first
+one's time); each referenced key is as-of matched to the preceding run's start
+and has no parent if it lies beyond that run's end. Equal keys always meet in
+one block and a run that a block's bounds cut is two runs, so nothing is
+carried between partitions; within one, rows stream by in batches.
 
 Skew: references are counted per key before any shuffle of rows, so a key that
 holds a third of them is one row in the match. Rows get their key's verdict
@@ -24,7 +24,6 @@ kept under a null id; repeated referrers count once; empty tables are fine.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairnlake.session import shared_dir
+from cairnlake.session import scratch
 
 #: Keys with at least 1/HOT of all references are hot; there can't be more than HOT.
 HOT = 500
@@ -57,32 +56,42 @@ def _keyed(df: DataFrame, key: str) -> DataFrame:
     })
 
 
+_ROWS = pa.schema([("target", pa.string()), ("n", pa.int64()), ("since", pa.int64()), ("parent", pa.bool_()), ("space", pa.string()), ("num", pa.int64())])
+
+
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of a partition's parents, and its referenced keys matched to them."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    t = pa.Table.from_batches(parts).combine_chunks()
-    space = t["space"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-    num, since = t["num"].to_numpy(), t["since"].to_numpy()
-    parent = t["parent"].to_numpy(zero_copy_only=False)
-    order = np.lexsort((~parent, num, space))  # a parent comes before its references
-    isp = parent[order]
-    p, r = order[isp], order[~isp]
-    before = (np.cumsum(isp) - 1)[~isp]  # as-of: the preceding parent of each reference
-    born = np.full(len(r), -1, np.int64)
-    if len(p) and len(r):
-        keys = num[p]
-        first = np.flatnonzero(np.r_[True, (np.diff(keys) != 1) | (np.diff(space[p]) != 0)])  # where a run begins
-        run_of = np.cumsum(np.isin(np.arange(len(p)), first)) - 1
-        start, end = keys[first], keys[np.r_[first[1:] - 1, len(keys) - 1]]
-        run = run_of[np.maximum(before, 0)]
-        inside = (before >= 0) & (space[p[np.maximum(before, 0)]] == space[r]) & (num[r] <= end[run])
-        at = first[run[inside]] + (num[r[inside]] - start[run[inside]])
-        born[inside] = since[p[at]]
-    take = pa.array(r)
-    out = pa.table({"target": t["target"].take(take), "n": t["n"].take(take), "born": pa.array(born)})
-    yield from out.to_batches(max_chunksize=50_000)
+    """Runs of a partition's parents, and its referenced keys matched to them.
+
+    Rows come sorted by key, a parent before its references, so a batch and the last parent before it
+    are all that is held: a run that goes on in the next batch ends, for this one's references, where
+    it has come to.
+    """
+    last: pa.Table | None = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        own = pa.Table.from_batches([b]).select(_ROWS.names).cast(_ROWS)
+        t = (pa.concat_tables([last, own]) if last is not None else own).combine_chunks()
+        space = t["space"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        num, since = t["num"].to_numpy(), t["since"].to_numpy()
+        parent = t["parent"].to_numpy(zero_copy_only=False)
+        p, r = np.flatnonzero(parent), np.flatnonzero(~parent)
+        before = (np.cumsum(parent) - 1)[~parent]  # as-of: the preceding parent of each reference
+        born = np.full(len(r), -1, np.int64)
+        if len(p) and len(r):
+            keys = num[p]
+            first = np.flatnonzero(np.r_[True, (np.diff(keys) != 1) | (np.diff(space[p]) != 0)])  # where a run begins
+            run_of = np.cumsum(np.isin(np.arange(len(p)), first)) - 1
+            start, end = keys[first], keys[np.r_[first[1:] - 1, len(keys) - 1]]
+            run = run_of[np.maximum(before, 0)]
+            inside = (before >= 0) & (space[p[np.maximum(before, 0)]] == space[r]) & (num[r] <= end[run])
+            at = first[run[inside]] + (num[r[inside]] - start[run[inside]])
+            born[inside] = since[p[at]]
+        if len(p):
+            last = t.slice(int(p[-1]), 1)
+        take = pa.array(r)
+        out = pa.table({"target": t["target"].take(take), "n": t["n"].take(take), "born": pa.array(born)})
+        yield from out.to_batches(max_chunksize=50_000)
 
 
 def verdicts(refs: DataFrame, parents: DataFrame) -> DataFrame:
@@ -94,13 +103,14 @@ def verdicts(refs: DataFrame, parents: DataFrame) -> DataFrame:
     live = live.where(~F.col("gone")).select(F.col("key").alias("target"), F.lit(0).cast("bigint").alias("n"), F.coalesce("since", F.lit(0)).alias("since"), F.lit(True).alias("parent"))
     asked = refs.groupBy("target").agg(F.count("*").alias("n")).select("target", "n", F.lit(0).cast("bigint").alias("since"), F.lit(False).alias("parent"))
     both = _keyed(live.unionByName(asked), "target")
-    return both.repartition("space", F.shiftright("num", BLOCK_BITS)).mapInArrow(_match, "target string, n bigint, born bigint")
+    placed = both.repartition("space", F.shiftright("num", BLOCK_BITS)).sortWithinPartitions("space", "num", F.col("parent").desc())
+    return placed.mapInArrow(_match, "target string, n bigint, born bigint")
 
 
 def orphans(refs: DataFrame, parents: DataFrame) -> DataFrame:
     """Rows of ``refs`` (with target and governed_at) whose target is missing, deleted or governed later."""
     spark = refs.sparkSession
-    at = f"{shared_dir(spark)}/verdicts-{uuid.uuid4().hex}"
+    at = scratch(spark, "verdicts")
     verdicts(refs, parents).write.parquet(at)  # read three times below; one row per distinct key
     v = spark.read.parquet(at)
     total = v.agg(F.sum("n")).first()[0] or 0

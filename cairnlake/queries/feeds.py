@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from cairnlake.operators import changefeed, promote
 from cairnlake.operators.identity import resolve
 from cairnlake.operators.synthetic import persons
 from cairnlake.queries.identity import _RES
-from cairnlake.session import shared_dir
+from cairnlake.session import scratch
 from cairnlake.sources.tables import table
 from cairnlake.sources.versioned import VersionedTable
 from cairnlake.streaming import feed
@@ -19,7 +17,7 @@ ELEMENTS = {"status": "code", "resourceType": "code", "item": "json", "meta": "j
 
 
 def _dir(s, name):
-    return f"{shared_dir(s)}/{name}-{uuid.uuid4().hex}"
+    return scratch(s, name)
 
 
 def _incremental(s, d):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cairnlake.operators import changefeed, instants, nested, orphans
 from cairnlake.sources.tables import table
 
@@ -10,10 +12,18 @@ def _tables(spark, d, names):
     return [table(spark, d, n) for n in names.split()]
 
 
+def _cells(rows):
+    """Child tables with the elements' fields as sorted text."""
+    cells = F.transform(F.map_entries("fields"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return rows.select("_commit_version", "array_path", "node_path", "parent_path", "ordinal", F.array_join(F.array_sort(cells), "\n").alias("cells"))
+
+
 QUERIES = {
     "p1_found": lambda s, d: instants.found(*_tables(s, d, "bronze observation specimen patient ingest_source")),
     "p2_found": lambda s, d: nested.found(table(s, d, "bronze")),
     "p2_answers": lambda s, d: nested.child_table(table(s, d, "bronze"), "body_json", ["_commit_version"], ["item", "answer"], ["valueBoolean", "valueInteger", "valueString"]),
+    "p2_tables": lambda s, d: _cells(nested.child_tables(table(s, d, "bronze"), "body_json", ["_commit_version"])),
+    "p2_table_sizes": lambda s, d: nested.element_rows(table(s, d, "bronze"), "body_json", ["_commit_version"]).groupBy("array_path").agg(F.count("*").alias("n"), F.max("ordinal").alias("last"), F.count_distinct("_commit_version", "parent_path").alias("parents")),
     "p3_found": lambda s, d: orphans.found(*_tables(s, d, "observation imagingstudy claimresponse patient organization")),
     "p3_per_month": lambda s, d: orphans.per_month(*_tables(s, d, "observation imagingstudy claimresponse patient organization")),
     "p5_found": lambda s, d: changefeed.found(table(s, d, "bronze")),
@@ -43,6 +53,14 @@ ORACLES = {
        json_extract_string(t.value, '$.valueBoolean') AS valueBoolean, json_extract_string(t.value, '$.valueInteger') AS valueInteger, json_extract_string(t.value, '$.valueString') AS valueString
        FROM (SELECT _commit_version, body_json FROM bronze WHERE json_valid(body_json)) b, json_tree(b.body_json) t
        WHERE t.type = 'OBJECT' AND regexp_matches(t.fullkey, '^\$\.item\[[0-9]+\]\.answer\[[0-9]+\]$')""",
+    "p2_tables": r"""SELECT b._commit_version, regexp_replace(t.fullkey, '\[[0-9]+\]', '[]', 'g') AS array_path, t.fullkey AS node_path,
+       coalesce(nullif(regexp_extract(regexp_replace(t.fullkey, '\[[0-9]+\]$', ''), '^(.*\])', 1), ''), '$') AS parent_path, regexp_extract(t.fullkey, '\[([0-9]+)\]$', 1)::int AS ordinal,
+       array_to_string(list_sort(list_transform(list_filter(json_keys(t.value), lambda k: json_type(t.value, '$."' || k || '"') NOT IN ('OBJECT', 'ARRAY', 'NULL')), lambda k: k || '=' || json_extract_string(t.value, '$."' || k || '"'))), chr(10)) AS cells
+       FROM (SELECT _commit_version, body_json FROM bronze WHERE json_valid(body_json)) b, json_tree(b.body_json) t
+       WHERE t.type = 'OBJECT' AND ends_with(t.fullkey, ']')""",
+    "p2_table_sizes": r"""WITH t AS (SELECT b._commit_version AS c, regexp_replace(t.fullkey, '\[[0-9]+\]', '[]', 'g') AS array_path, regexp_replace(t.fullkey, '\[[0-9]+\]$', '') AS holder, regexp_extract(t.fullkey, '\[([0-9]+)\]$', 1)::int AS ordinal
+       FROM (SELECT _commit_version, body_json FROM bronze WHERE json_valid(body_json)) b, json_tree(b.body_json) t WHERE t.type = 'OBJECT' AND ends_with(t.fullkey, ']'))
+       SELECT array_path, count(*) AS n, max(ordinal) AS last, count(DISTINCT (c, coalesce(nullif(regexp_extract(holder, '^(.*\])', 1), ''), '$'))) AS parents FROM t GROUP BY array_path""",
     "p2_found": r"""SELECT b._commit_version, t.fullkey AS node_path,
        coalesce(nullif(regexp_extract(regexp_replace(t.fullkey, '\[[0-9]+\]$', ''), '^(.*\])', 1), ''), '$') AS parent_path
        FROM (SELECT _commit_version, body_json FROM bronze WHERE json_valid(body_json)) b, json_tree(b.body_json) t

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -28,15 +30,47 @@ def build_session(cpus: int = 8, memory: str = "12g", app: str = "cairnlake", **
     return spark
 
 
+_MADE: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests) a local folder is set.
+    Only a local session (tests) that names none gets a folder of its own machine; a cluster must name one.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="cairnlake-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one; ``clean`` removes it, and so does the end of the process."""
+    at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(_at_exit)
+    _MADE.append(at)
+    return at
+
+
+def clean(spark: SparkSession) -> int:
+    """Remove the folders that ``scratch`` gave; what is still to be read from them must have been read."""
+    jvm, n = spark._jvm, len(_MADE)
+    while _MADE:
+        at = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return n
+
+
+def _at_exit() -> None:
+    try:
+        spark = SparkSession.getActiveSession()
+        if spark is not None and spark.sparkContext._jsc is not None:
+            clean(spark)
+    except Exception:  # the session has gone already
+        pass
