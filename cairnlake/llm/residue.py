@@ -1,6 +1,6 @@
 """Template residue, filler, error pages and demands for scripts.
 
-Three kinds of evidence, gathered in one pass over whole texts:
+Nothing is known of the wording beforehand; what is looked for is induced from all texts.
 
 * *Slots.* Marks that may be an unfilled field, leftover code, a default or a
   blank are located, and the words around each are masked (digits) into a
@@ -8,44 +8,51 @@ Three kinds of evidence, gathered in one pass over whole texts:
   differ, or where another record has the place filled, it is a slot and the
   mark an unfilled one; where the records of several dockets all carry the same
   mark and no record fills the place, it is wording of the template itself (a
-  decision that discusses a field), no slot. Filled places are looked for in a
-  second pass over the texts, for contexts of one mark only: the others are
-  slots anyhow. A context without a word of its own (names, numbers and
-  punctuation only) can't be aligned, so its marks are never wording. Marks in
+  decision that discusses a field), no slot. A mark whose own context aligns
+  with nothing is found only in a notation that induced slots have. Marks in
   quotation marks are mentions and dropped at once.
-* *Pages.* Texts without numbered paragraphs are cut into units (lines and
-  sentences, digits masked) of at least three words. Units that recur over
-  the dockets of such texts (over the documents, where there is no docket; so
-  verbatim repeats count) and that decisions with paragraphs hardly have are page
-  templates, and a text with one is a page.
-* *Units.* Error messages and demands for scripts as a unit of their own, and
-  filler: units of placeholder Latin, of a few words over and over, or of one
-  sentence repeated.
+* *Pages.* Texts without numbered paragraphs are no decisions. Texts of either
+  kind are cut into units (lines, sentences and their parts, digits masked); a
+  unit of a decision is looked at if all its words occur in such pages over
+  ``PAGE`` dockets. Its keys (the unit, its runs of three words, its words)
+  are page wording if ``PAGE`` dockets of pages have them and pages have them
+  ``LIFT`` times as often as decisions. A unit of which page wording accounts
+  for ``COVERED`` of the words is residue: an error message, a demand for
+  scripts or filler, in any language, as a page or among the paragraphs.
+  Quoting units are mentions.
+* *Repeats.* Units of a few words over and over, or of one sentence repeated.
 
 Contexts and units are counted over all documents with map-side combined
 aggregates; versions and copies of one ruling count once, by docket (where
-there is none, by document) and by the letters of their surroundings. The
-contexts of one mark that several dockets share, and their scanning variants,
-and the units that may be page templates are held by the driver and every
-worker; nothing else is. Odd cases:
-null, empty and blank texts are never found; repeated rows are found again
-under their id; an empty table gives an empty result; redactions
-(``[REDACTED]``, ``X.____``, blacked words) and signature lines are no marks.
+there is none, by document) and by the letters of their surroundings. Workers
+hold the page words as a bit filter of fixed size, which only preselects: what
+it lets through is counted and joined exactly. The contexts of one agreed mark
+are held by the driver and every worker; nothing else is. Odd cases: null,
+empty and blank texts are never found; repeated rows are found again under
+their id; an empty table gives an empty result; redactions (``[REDACTED]``,
+``X.____``, blacked words) and signature lines are no marks. A corpus without
+repeated pages teaches no page wording: there only slots and repeats are found.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
+from operator import eq
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Dockets of texts without paragraphs that must share a unit before it may be a page template.
-PAGE = 3
-#: Share of these among all dockets with the unit, from which it is one.
-PAGED = 0.8
+#: Dockets of texts without paragraphs that must share a word or run of words before it may be of a page template.
+PAGE = 2
+#: How many times as often as decisions the texts without paragraphs have what belongs to page templates.
+LIFT = 5
+#: Share of a unit's words that page templates must account for.
+COVERED = 0.6
+#: Bits of the filter of page words that every worker holds (a megabyte).
+FILTER_BITS = 1 << 23
 #: Share of a mark's dockets that have it as constant wording, from which it is wording at its other places that are never filled.
 WORDING = 0.8
 #: Characters that a filled place may hold.
@@ -55,28 +62,6 @@ REACH = 2 * 48 + FILLING + 40
 
 # Words that ask for a field to be filled, in the corpus's languages.
 ASK = r"insert|enter|to be (?:added|inserted|completed|confirmed)|tb[cda]\b|to follow|fill in|einfügen|eintragen|ergänzen|nachtragen|folgt|à compléter|compléter|insérer|à insérer|renseigner|insertar|completar|rellenar|indicar|por completar|●|placeholder|platzhalter"
-# A demand for scripts, as a verb and its object or the other way round.
-SCRIPT = (
-    r"(?:enable|activate|turn on|activez|activer|active|activar|habilite|aktivieren sie|require[sd]?|needs?|allow|run|benötigt|führt keine)\W+(?:\w+\W+){0,2}?(?:java ?script|scripts?|skripte|cookies)"
-    r"|(?:java ?script|scripts?|script support|scripting|skriptausführung|ejecución de scripts|exécution des scripts|skripte)\W+(?:is |are |has |have |must |seems? |muss |müssen |ist |sind |doit |doivent |debe |está |estén |est |soient |sont )"
-    r"|yours are switched off"
-)
-# Wording of error pages, lower case.
-ERRORS = """page not found|was not found|not found on the server|no such document|server error|internal error|interner serverfehler|unhandled exception
-access denied|login required|too many requests|gateway timed out|gateway timeout|bad gateway|timed out before|could not be loaded|could not be located|cannot be displayed|unavailable at the moment
-temporarily unavailable|stopped with code|refused by the upstream|blocked for your network|blocked from the registry|session has expired|sign in again|been moved or removed|do not have permission
-database did not respond|closed for maintenance|under maintenance|something went wrong|we're sorry|oops!|konnte nicht geladen werden|nicht verfügbar|nicht mehr verfügbar|vorübergehend nicht erreichbar
-mit code|vom server abgelehnt|zugriff verweigert|wartungsarbeiten|sitzung ist abgelaufen|seite nicht gefunden|ein fehler aufgetreten|keine berechtigung|pas pu être charg|momentanément indisponible
-a été refusé|échoué avec le code|accès refusé|session a expiré|page introuvable|page non trouvée|erreur interne|demandée n'existe plus|demandé n'existe plus|site en maintenance|no se pudo cargar|no disponible
-no está disponible|falló con el código|acceso denegado|sesión ha caducado|página no encontrada|error interno|solicitada no existe|solicitado no existe|rechazada por el servidor|rechazado por el servidor
-en mantenimiento""".replace("\n", "|").split("|")
-# Of these, wording that a decision may use of other things: only an error text if it is the unit's end or its line is short.
-LOOSE = {"was not found", "could not be located", "nicht verfügbar", "no disponible", "a été refusé", "mit code", "under maintenance", "en mantenimiento"}
-#: Before a number of three digits, an error's name.
-STATUS = r"(?:error|http|fehler|erreur|status)\s*:?\s*[1-5]\d\d\b"
-# Stems of placeholder Latin.
-LATIN = "lorem ipsum dolor sit amet consec conse adip elit eiusmod tempor incidid labor dolore magna aliqua enim minim veniam quis nostr exerci ullam nisi aliquip commodo duis aute irur repre volup velit velor esse cillu fugia nulla pariat excep sint occae cupid non proid sunt culpa offic deser mollit anim tincid quisq nunc vemis pellor quorat eu ut et in".split()
-
 _NUMBER = r"(?:¶ ?\d+|\[\d+\]|\(\d+\)|\d{1,4}\.(?!\d)|\d{1,4}\t)"
 _PARAGRAPH = re.compile(rf"(?m)^\s*{_NUMBER}")
 _UNNUMBERED = re.compile(rf"(?m)^[^\S\n]*{_NUMBER}[^\S\n]*")
@@ -99,34 +84,19 @@ _ASKED = ("enter ", "insert", "insér", "compl", "tbc", "tbd", "hier ")
 _WORDS = ("TODO", "FIXME", "NaN", "undefined", "null", "None", "TBC", "TBD", "XX")
 _WORD_MARK = re.compile(r"(?<![\w.\-\[{<%@#(])(?:TODO|FIXME|NaN|undefined|null|None|TBC|TBD)(?![\w\-])(?! (?:und|and|of|et|y|der|the|ist|is)\b)|\bXX[./-]XX[./-](?:20)?XX(?:XX)?\b")
 _SEE = re.compile(r"(?i)<(?:see|cf|siehe|voir|véase|ver)\b|</?(?:p|br|b|i|em|strong|div|span|a|table|tr|td|th|ul|ol|li|h\d|body|html|head|title|img|script|style)(?:\s[^<>]*)?/?>")
-_SCRIPT, _STATUS = re.compile(f"(?i){SCRIPT}"), re.compile(STATUS)
-_LATIN = re.compile(rf"(?i)^(?:{'|'.join(LATIN)})")
 _WORD = re.compile(r"\w+")
 _RUN = re.compile(r"(?i)\b([^\W\d]{2,30})(?:\s+\1\b){3}")
-_END = re.compile(r"[.!?:;]\s|[\r\n]")
-
-
-def cue_automaton() -> object:
-    """Finds pieces of error texts and demands for scripts in lower-case text in one pass."""
-    import ahocorasick
+_PARTS = re.compile(r"(?<=[:…])\s+|\s[–|—]\s|</?\w+>")
+_PART_SIGN = re.compile("[:…–|—<]")
+_LETTERS = re.compile(r"\b[^\W\d_]+\b")
+_TOKEN = re.compile(r"\b[^\W\d_]+\b|\w*\d\w*|#")
 
-    a = ahocorasick.Automaton()
-    for kind, words in (("e", ERRORS), ("s", ["script", "skript", "cookies", "switched off"]), ("n", ["error", "http", "fehler", "erreur", "status"]), ("l", ["ipsum", "lorem", "quisq", "tincid", "aliqua", "cillu", "vemis", "pariat", "exerci", "repre", "dolor"])):
-        for w in words:
-            a.add_word(w, (kind, w))
-    a.make_automaton()
-    return a
 
-
-def filler(unit: str, latin: bool = True) -> bool:
-    """Whether a unit is placeholder Latin, a few words over and over, or one sentence repeated."""
-    words = unit.lower().split()
+def filler(unit: str) -> bool:
+    """Whether a unit (in lower case) is a few words over and over, or one sentence repeated."""
+    words = unit.split()
     if len(words) < 4:
         return False
-    if latin and len(words) >= 5:
-        hits = [w for w in words if _LATIN.match(w)]
-        if len(hits) >= 0.75 * len(words) and sum(len(w) > 3 for w in hits) >= 3:
-            return True
     share = len(set(words)) / len(words)
     if share > 0.67 or not any(c.isalpha() for c in unit):
         return False
@@ -137,46 +107,10 @@ def filler(unit: str, latin: bool = True) -> bool:
 
 def _twice(unit: str) -> bool:
     """Whether a sentence of at least two words and no digits directly follows itself."""
-    parts = [p.strip().lower() for p in _SENTENCES.split(unit.strip()) if p.strip()]
+    parts = [p.strip() for p in _SENTENCES.split(unit.strip()) if p.strip()]
     return any(a == b and len(_WORD.findall(a)) >= 2 and not any(c.isdigit() for c in a) for a, b in zip(parts, parts[1:], strict=False))
 
 
-def _mentioned(text: str, a: int, b: int) -> bool:
-    """Whether a quotation opens before and closes after the place, within its sentence."""
-    left, right = text[max(0, a - 90) : a], text[b : b + 90]
-    cut = [m.end() for m in _END.finditer(left)]
-    left = left[cut[-1] :] if cut else left
-    m = _END.search(right)
-    right = right[: m.start() + 1] if m else right
-    return any(c in _QUOTE_OPEN for c in left) and any(c in _QUOTE_CLOSE for c in right)
-
-
-def error_text(text: str, low: str, hits: list[tuple[int, tuple[str, str]]]) -> bool:
-    """Whether one of the cues that were found is an error text or a demand for scripts, and not quoted."""
-    for end, (kind, word) in hits:
-        end += 1
-        start = end - len(word)
-        if kind == "n":
-            m = _STATUS.match(low, start)
-            if not m:
-                continue
-            end = m.end()
-        elif kind == "s":
-            lo = max(0, start - 60)
-            if not any(m.start() + lo <= end and m.end() + lo >= start for m in _SCRIPT.finditer(text[lo : end + 40])):
-                continue
-        elif word in LOOSE:
-            lo = max(text.rfind("\n", 0, start), text.rfind("\r", 0, start)) + 1
-            hi = min(x for x in (text.find("\n", end), text.find("\r", end), len(text)) if x >= 0)
-            if hi - lo > 170:
-                continue
-        elif kind == "l":
-            continue
-        if not _mentioned(text, start, end):
-            return True
-    return False
-
-
 def _mask(text: str) -> str:
     return re.sub(r"\d+", "#", text.casefold())
 
@@ -277,44 +211,46 @@ def _marks(text: str) -> Iterator[tuple[int, int]]:
         yield a, b
 
 
-def evidence(doc_id: object, text: str | None, court: str | None, cues: object) -> list[tuple]:
-    """Rows (doc_id, kind, key, mark, place) of one text; kind is sure, slot or page."""
-    out: list[tuple] = []
-    if text is None or not text.strip():
-        return out
+def slots(text: str) -> list[tuple[str, str, int]]:
+    """Context, masked mark and place of each mark of a text."""
+    return [(_context(text, a, b), _mask(text[a:b]), _passage(text, a, b)) for a, b in _marks(text)]
+
+
+def repeats(text: str) -> bool:
+    """Whether a line or a sentence says the same over and over."""
     low = text.lower()
-    hits = list(cues.iter(low)) if len(low) == len(text) else list(cues.iter(low := "".join(c.lower() if len(c.lower()) == 1 else c for c in text)))
-    latin = sum(k == "l" for _, (k, _w) in hits) >= 2
-    if "<noscript" in low or error_text(text, low, hits):
-        return [(doc_id, "sure", None, None, None)]
-    for line in _LINES.split(text):
-        if _RUN.search(line) or any(filler(u, latin) for u in _SENTENCES.split(line)) or _twice(line):
-            return [(doc_id, "sure", None, None, None)]
-        if filler(_LEAD.sub("", line) if line[:1] in "0123456789[(¶ \t" else line, latin):
-            return [(doc_id, "sure", None, None, None)]
-    for a, b in _marks(text):
-        out.append((doc_id, "slot", _context(text, a, b), _mask(text[a:b]), _passage(text, a, b)))
-    if not _PARAGRAPH.search(text):
-        own = (court or "").casefold()
-        out += [(doc_id, "page", unit, None, None) for unit in _units(text) if unit != own and len(_WORD.findall(unit)) >= 3]
-    return out
-
-
-def _units(text: str) -> set[str]:
-    """Lines and sentences, digits masked."""
-    return {_mask(u.strip()) for line in _LINES.split(text) for u in _SENTENCES.split(line)}
-
-
-def _in_decisions(keys: list[str]):
-    """A scan that gives the units of ``keys`` that texts with paragraphs have, with the docket."""
-    wanted = set(keys)
+    words = low.split()
+    if any(map(eq, words, words[1:])) and _RUN.search(low):
+        return True
+    for line in _LINES.split(low):
+        if len(line) < 9:
+            continue
+        parts = _SENTENCES.split(line)
+        if len(parts) > 1 and (any(map(filler, parts)) or _twice(line)) or filler(line):
+            return True
+        if line[0] in "0123456789[(¶ \t" and filler(_LEAD.sub("", line)):
+            return True
+    return False
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [(u, d or f"document {i}") for i, t, d in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["docket"].to_pylist(), strict=True) if t and _PARAGRAPH.search(t) for u in _units(_UNNUMBERED.sub("", t)) & wanted]
-            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in rows], pa.string()), pa.array([d for _, d in rows], pa.string())], names=["key", "docket"])
 
-    return scan
+def is_page(text: str) -> bool:
+    """Whether a text has none of a decision's numbered paragraphs."""
+    return not _PARAGRAPH.search(text)
+
+
+def units(text: str) -> Iterator[str]:
+    """Lines and sentences without paragraph numbers, and their parts at dashes, colons and tags; lower case."""
+    for line in _LINES.split(_UNNUMBERED.sub("", text.casefold())):
+        for sentence in _SENTENCES.split(line):
+            if sentence and not sentence.isspace():
+                yield sentence
+                if _PART_SIGN.search(sentence) and len(parts := _PARTS.split(sentence)) > 1:
+                    yield from (p for p in parts if p and not p.isspace())
+
+
+def masked(unit: str) -> list[str]:
+    """A unit's words; those with digits are all one."""
+    return [w if w.isalpha() else "#" for w in _TOKEN.findall(unit)]
 
 
 def hash_of(text: str) -> int:
@@ -323,42 +259,173 @@ def hash_of(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-_SCHEMA = "doc_id bigint, kind string, key string, mark string, place bigint, docket string"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("kind", pa.string()), ("key", pa.string()), ("mark", pa.string()), ("place", pa.int64()), ("docket", pa.string())])
+_EVIDENCE = pa.schema([("doc_id", pa.int64()), ("docket", pa.string()), ("kind", pa.string()), ("key", pa.string()), ("mark", pa.string()), ("place", pa.int64())])
+_DDL = "doc_id bigint, docket string, kind string, key string, mark string, place bigint"
+
 
+def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[object, str, str, str]]:
+    """(doc_id, docket, court, text) of the texts that aren't blank."""
+    for i, t, d, c in zip(*(batch[n].to_pylist() for n in ("doc_id", "text", "docket", "court")), strict=True):
+        if t and not t.isspace():
+            yield i, d or f"document {i}", (c or "").casefold(), t
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cues = cue_automaton()
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+
+
+_PAGE_WORDS = pa.schema([("docket", pa.string()), ("word", pa.string()), ("pages", pa.int64()), ("bodies", pa.int64())])
+
+
+def _page_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of texts without paragraphs, with the docket; and, as the word null, how many texts of either kind there are."""
     for b in batches:
-        rows: list[tuple] = []
-        for i, t, c, d in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["court"].to_pylist(), b["docket"].to_pylist(), strict=True):
-            rows += [(*r, d or f"document {i}") for r in evidence(i, t, c, cues)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_ARROW)], schema=_ARROW)
+        seen: set[tuple[str, str]] = set()
+        n = [0, 0]
+        for _, docket, court, text in _rows_of(b):
+            page = is_page(text)
+            n[not page] += 1
+            if page:
+                seen.update((docket, w) for u in units(text) if u.strip() != court for w in masked(u) if w != "#")
+        yield _table([(d, w, 0, 0) for d, w in seen] + [(None, None, *n)], _PAGE_WORDS)
+
+
+def _filter_bits(keys: DataFrame, column: str) -> bytes:
+    """A set of texts as bits by hash, of a fixed size whatever there is: members are always found, others hardly ever."""
+    at = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    words = keys.select(F.shiftright(at, 6).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(64)).cast("int")).alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    out = [0] * (FILTER_BITS // 64)
+    for r in words.collect():  # at most FILTER_BITS / 64 numbers
+        out[r["w"]] = r["b"] & (2**64 - 1)
+    return struct.pack(f"<{len(out)}Q", *out)
+
+
+def _member(bits: bytes):
+    """Whether a word may be in the set; answers are remembered, for words repeat."""
+    import xxhash
+
+    known: dict[str, bool] = {"#": True}
+
+    def test(word: str) -> bool:
+        got = known.get(word)
+        if got is None:
+            if len(known) > 300_000:
+                known.clear()
+                known["#"] = True
+            at = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42)
+            at = (at - (1 << 64) if at >> 63 else at) % FILTER_BITS
+            got = known[word] = bool(bits[at >> 3] >> (at & 7) & 1)
+        return got
+
+    return test
+
+
+def _gather(bits: bytes):
+    """A scan that gives each text's marks and repeated wording, and its units that are made of page words alone."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        may = _member(bits)
+        for b in batches:
+            rows: list[tuple] = []
+            held: dict[str, int] = {}
+            for i, docket, court, text in _rows_of(b):
+                page = is_page(text)
+                if repeats(text):
+                    rows.append((i, docket, "sure", None, None, None))
+                rows += [(i, docket, "slot", *s) for s in slots(text)]
+                known = set(filter(may, set(_LETTERS.findall(text.casefold()))))
+                if not page:
+                    for w in known:
+                        held[w] = held.get(w, 0) + 1
+                mine = set()
+                for u in units(text):
+                    letters = _LETTERS.findall(u)
+                    if letters and known.issuperset(letters) and u not in mine and u.strip() != court:
+                        w = masked(u)
+                        mine.add(u)
+                        rows.append((i, docket, "page" if page else "part", " ".join(w), None, int(_said(text, u))))
+            rows += [(None, None, "held", w, None, n) for w, n in held.items()]
+            yield _table(rows, _EVIDENCE)
+
+    return scan
+
+
+def _said(text: str, unit: str) -> bool:
+    """Whether a unit stands in quotation marks, or is the rest of a sentence that quotes."""
+    bare = unit.strip()
+    return bare[:1] in _QUOTE_OPEN and bare[-1:] in _QUOTE_CLOSE or sum(bare.count(c) for c in '"“”„«»') > 0
+
+
+def _keys(parts: DataFrame) -> DataFrame:
+    """Each unit's keys with the words they cover: the unit itself, its runs of three words, its words."""
+    w = F.split("key", " ")
+    n = F.size("w")
+    every = F.sequence(F.lit(0), n - 1)
+    whole = F.array(F.struct(F.concat(F.lit("s "), F.col("key")).alias("k"), every.alias("at")))
+    runs = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.concat(F.lit("g "), F.array_join(F.slice("w", i + 1, 3), " ")).alias("k"), F.sequence(i, i + 2).alias("at"))))
+    words = F.transform("w", lambda x, i: F.struct(F.concat(F.lit("u "), x).alias("k"), F.array(i).alias("at")))
+    return parts.withColumn("w", w).select("doc_id", "docket", "kind", "key", F.explode(F.flatten(F.array_compact(F.array(whole, runs, words)))).alias("e")).select("doc_id", "docket", "kind", "key", "e.k", "e.at")
+
+
+def page_units(ev: DataFrame, n_pages: int, n_bodies: int) -> DataFrame:
+    """``doc_id`` of texts with a unit of which the page templates account for most.
+
+    A key (unit, run of three words, word) belongs to page templates if ``PAGE`` dockets of texts without
+    paragraphs have it and these texts have it ``LIFT`` times as often as decisions. Words are counted in
+    whole decisions, longer keys in their units made of page words.
+    """
+    parts = ev.where("kind in ('page', 'part') and place = 0")
+    keys = _keys(parts)
+    counted = keys.groupBy("k").agg(F.count_distinct(F.when(F.col("kind") == "page", F.col("docket"))).alias("dockets"), F.count_distinct(F.when(F.col("kind") == "page", F.col("doc_id"))).alias("pages"), F.count_distinct(F.when(F.col("kind") == "part", F.col("doc_id"))).alias("bodies"))
+    held = ev.where("kind = 'held'").groupBy(F.concat(F.lit("u "), F.col("key")).alias("k")).agg(F.sum("place").alias("held"))
+    typical = counted.where(F.col("dockets") >= PAGE).join(held, "k", "left").where(F.col("pages") * n_bodies >= LIFT * F.greatest("bodies", F.coalesce("held", F.lit(0))) * n_pages).where("k <> 'u #'").select("k")
+    covered = keys.join(typical, "k", "left_semi").select("doc_id", "kind", "key", F.explode("at").alias("at")).distinct()
+    covered = covered.where(F.get(F.split("key", " "), F.col("at")) != "#").groupBy("doc_id", "kind", "key").agg(F.count("*").alias("n"))
+    own = F.size(F.filter(F.split("key", " "), lambda x: x != "#"))
+    return covered.where(F.col("n") >= COVERED * own).where((own >= 2) | F.col("key").contains("#") | (F.col("kind") == "page")).select("doc_id").distinct()
+
+
+def induced_slots(marks: DataFrame, cols: DataFrame) -> DataFrame:
+    """``doc_id`` of texts with an unfilled slot.
+
+    A context is a slot if records differ in what they have there: another mark, or a filled place. It is
+    wording if the records of several dockets have one and the same mark there and none has it filled. Marks
+    whose own context aligns with no other record are judged by what the slots taught: the mark itself, or
+    its notation (the mark with its letters left out), must be that of an induced slot's.
+    """
+    own = marks.groupBy("key", "mark").agg(F.least(F.count_distinct("docket"), F.count_distinct("place")).alias("n"))
+    per = own.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("marks"), F.min("mark").alias("mark")).checkpoint()
+    single = per.where("marks = 1")
+    agreed = single.where("n > 1").select("mark").distinct()  # alignment takes two
+    asked = single.join(agreed, "mark", "left_semi").where(F.col("key").rlike(OWN_WORD)).select("key", "n").checkpoint()
+    filled = _filled(asked, cols)
+    never = asked.join(filled, "key", "left_anti").checkpoint()
+    # A mark found nearly only as agreed wording is wording in its scanning variants, too, unless they are filled.
+    said = own.join(never.where("n > 1").select("key", F.lit(True).alias("fixed")), "key", "left").groupBy("mark").agg((F.sum(F.when(F.col("fixed"), F.col("n")).otherwise(0)) >= WORDING * F.sum("n")).alias("said")).where("said")
+    wording = never.where("n > 1").select("key").unionByName(single.join(never.select("key"), "key", "left_semi").join(said, "mark", "left_semi").select("key"))
+    open_marks = marks.join(wording, "key", "left_anti")
+    aligned = per.where("marks > 1").select("key").unionByName(filled.select("key"))
+    notation = F.regexp_replace(F.regexp_replace("mark", r"[\p{L}\p{N}_#]+", "a"), r"(a\W{0,2})+a", "a")
+    notation = F.when(notation == "a", F.col("mark")).otherwise(notation)  # a bare word has no notation
+    taught = open_marks.join(aligned.distinct(), "key", "left_semi").select(notation.alias("notation")).distinct().checkpoint()
+    by_own = open_marks.join(aligned.distinct(), "key", "left_semi").select("doc_id")
+    by_notation = open_marks.withColumn("notation", notation).join(taught, "notation", "left_semi").select("doc_id")
+    return by_own.unionByName(by_notation).distinct()
+
+
+def _filled(asked: DataFrame, cols: DataFrame) -> DataFrame:
+    """The contexts of ``asked`` that some text has with the place filled."""
+    keys = [r["key"] for r in asked.select("key").collect()]
+    return cols.select("text").mapInArrow(_fillings(keys), "key string").distinct().checkpoint() if keys else asked.select("key").limit(0)
 
 
 def judged(documents: DataFrame) -> DataFrame:
     """``doc_id`` of each text with residue, one row each."""
     cols = documents.select("doc_id", "text", *[F.col(c) if c in documents.columns else F.lit(None).cast("string").alias(c) for c in ("court", "docket")])
-    ev = cols.mapInArrow(_scan, _SCHEMA)
-    ev = ev.checkpoint()  # read three times below; a few rows per suspicious text
+    words = cols.mapInArrow(_page_words, "docket string, word string, pages bigint, bodies bigint").groupBy("word").agg(F.count_distinct("docket").alias("dockets"), F.sum("pages").alias("pages"), F.sum("bodies").alias("bodies")).checkpoint()
+    total = words.where("word is null").first()
+    n_pages, n_bodies = (total["pages"], total["bodies"]) if total else (0, 0)
+    bits = _filter_bits(words.where("word is not null").where(F.col("dockets") >= PAGE), "word")
+    ev = cols.mapInArrow(_gather(bits), _DDL).checkpoint()  # read several times below; a few rows per suspicious text
     sure = ev.where("kind = 'sure'").select("doc_id")
-    slots = ev.where("kind = 'slot'")
-    own = slots.groupBy("key", "mark").agg(F.least(F.count_distinct("docket"), F.count_distinct("place")).alias("n"))
-    per = own.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("marks"), F.min("mark").alias("mark")).where("marks = 1").checkpoint()
-    agreed = per.where("n > 1").select("mark").distinct()  # alignment takes two
-    asked = per.join(agreed, "mark", "left_semi").where(F.col("key").rlike(OWN_WORD)).select("key", "n").checkpoint()
-    keys = [r["key"] for r in asked.select("key").collect()]
-    filled = documents.select("text").mapInArrow(_fillings(keys), "key string").distinct() if keys else slots.select("key").limit(0)
-    never = asked.join(filled, "key", "left_anti").checkpoint()
-    # A mark found nearly only as agreed wording is wording in its scanning variants, too, unless they are filled.
-    said = own.join(never.where("n > 1").select("key", F.lit(True).alias("fixed")), "key", "left").groupBy("mark").agg((F.sum(F.when(F.col("fixed"), F.col("n")).otherwise(0)) >= WORDING * F.sum("n")).alias("said")).where("said")
-    wording = never.where("n > 1").select("key").unionByName(per.join(never.select("key"), "key", "left_semi").join(said, "mark", "left_semi").select("key"))
-    unfilled = slots.join(wording, "key", "left_anti").select("doc_id")
-    pages = ev.where("kind = 'page'")
-    known = pages.groupBy("key").agg(F.count_distinct("docket").alias("n")).where(F.col("n") >= PAGE).checkpoint()
-    units = [r["key"] for r in known.select("key").collect()]
-    if units:
-        held = cols.select("doc_id", "text", "docket").mapInArrow(_in_decisions(units), "key string, docket string").groupBy("key").agg(F.count_distinct("docket").alias("held"))
-        known = known.join(held, "key", "left").where(F.col("n") >= PAGED * (F.col("n") + F.coalesce("held", F.lit(0))))
-    paged = pages.join(known.select("key"), "key", "left_semi").select("doc_id")
-    return sure.unionByName(unfilled).unionByName(paged).distinct()
+    return sure.unionByName(induced_slots(ev.where("kind = 'slot'"), cols)).unionByName(page_units(ev, n_pages, n_bodies)).distinct()

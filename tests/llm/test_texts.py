@@ -101,11 +101,23 @@ BAD = [
 ]
 
 
+NOTATIONS = ["{{ price }}", "<%= price %>", "%(price)s", "@@price@@", "[insert price]", "«PRICE_1»", "NaN", "#N/A", "{% price %}"]
+TAUGHT = [
+    "Skip to content\n\nYou need to allow scripts and cookies to continue.", "Error 401: Too many requests, slow down", "Die Skriptausführung ist in Ihrem Browser abgeschaltet.",
+    "Enim pellor quorat dolor aliqua lorem. Volup pariat sit ipsum aliqua dolor enim.",
+]
+
+
 def test_residue_cases(spark, tmp_path):
     rows = [(i, t, "HIGH COURT", "x") for i, t in enumerate(GOOD)] + [(100 + i, t, None, "x") for i, t in enumerate(BAD)] + [(100, BAD[0], None, "x")]
+    # What pages teach is taught by pages: each of these twice, without paragraphs.
+    rows += [(200 + i, t, None, "x") for i, t in enumerate(TAUGHT * 2)]
+    rows += [(300 + i, f"HIGH COURT\n1. {t} of {i} is in the main not to be had, and so on.\n2. Held.", None, "x") for i, t in enumerate(["The first", "A second", "The other", "The whole", "None", "Most"] * 3)]
+    # What slots teach: records of one template that differ in what they have in one place.
+    rows += [(400 + i, f"COURT\n1. The price agreed by them was {m} in full.\n2. Held.", None, "x") for i, m in enumerate(NOTATIONS)]
     spark.sparkContext.setCheckpointDir(str(tmp_path))
     got = sorted(r["doc_id"] for r in residue.judged(spark.createDataFrame(rows, DOC)).collect())
-    assert got == [100 + i for i in range(len(BAD))]
+    assert got == [100 + i for i in range(len(BAD))] + [200 + i for i in range(2 * len(TAUGHT))] + [400 + i for i in range(len(NOTATIONS))]
     assert residue.judged(spark.createDataFrame([], DOC)).collect() == []
 
 
@@ -142,15 +154,32 @@ def test_verbatim_pages_and_ordinary_sentences(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path))
     pages = [(i, "Der Viewer wurde angehalten, bitte laden Sie neu", None, "") for i in range(4)]
     short = [(10 + i, f"HIGH COURT\nParty {w} was heard.\nThe appeal is dismissed with costs.", None, "") for i, w in enumerate(["Ada", "Bo", "Cid"])]
-    long = [(20 + i, f"HIGH COURT\n1. The {w} is old.\n2. The appeal is dismissed with costs.", None, "") for i, w in enumerate(["quay", "mill", "barn", "weir"])]
+    long = [(20 + i, f"HIGH COURT\n1. The {w} is old; a party was heard.\n2. The appeal is dismissed with costs.", None, "") for i, w in enumerate(["quay", "mill", "barn", "weir"])]
     got = sorted(r["doc_id"] for r in residue.judged(spark.createDataFrame(pages + short + long, DOC)).collect())
     assert got == [0, 1, 2, 3]
 
 
 def test_filler_between_sentences_in_lines_of_any_length():
-    cues = residue.cue_automaton()
     real = "The lease ran for ten years. {} The landlord then gave notice in writing to each of the tenants."
-    for bad in ("Lorem ipsum dolor sit amet consectetur adipiscing elit.", "The rent was test test test test a year.", "This is sample text. This is sample text."):
+    for bad in ("The rent was test test test test a year.", "This is sample text. This is sample text."):
         for more in ("", " The court heard both parties at length on the point of notice." * 9):
-            assert [e[1] for e in residue.evidence(1, "COURT\n1. " + real.format(bad) + more + "\n2. Held.", None, cues)] == ["sure"]
-    assert residue.evidence(1, "COURT\n1. " + real.format("It was, it was said, no bar.") + "\n2. Held.", None, cues) == []
+            assert residue.repeats("COURT\n1. " + real.format(bad) + more + "\n2. Held.")
+    assert not residue.repeats("COURT\n1. " + real.format("It was, it was said, no bar.") + "\n2. Held.")
+
+
+def test_pages_in_a_language_nobody_listed(spark, tmp_path):
+    """Made-up words: pages teach the wording, and it is found among paragraphs, in capitals and beside navigation, but not where it is quoted."""
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    random.seed(5)
+    heads, nouns, faults = ["Vosk", "Tumo {n}", "Grelle {n}:"], ["Ol paterik", "Sa vunda", "Il dresko {n}a"], ["neva hurat", "pa brinta solem", "tok i mervin lasto"]
+    wrong = lambda: f"{random.choice(heads)} {random.choice(nouns)} {random.choice(faults)}".replace("{n}", str(random.randint(100, 999)))
+    words = "the a court lease quay rent term party sum paid held due claim notice costs order appeal".split()
+    plain = lambda: " ".join(random.choice(words) for _ in range(14)).capitalize() + "."
+    body = lambda extra: "HIGH COURT\n" + "\n".join(f"{k}. {t}" for k, t in enumerate([plain(), *extra, plain(), plain()], 1))
+    pages = [(i, wrong() + random.choice(["\nRetu al stara", "", "\nFolta | Nirk"]), None, "") for i in range(60)]
+    parts = [(1000 + i, body([random.choice([wrong(), wrong().upper()])]), None, "") for i in range(60)]
+    quotes = [(2000 + i, body([f'The portal said "{wrong()}" to the party.']), None, "") for i in range(20)]
+    good = [(3000 + i, body([]), None, "") for i in range(1500)]
+    got = {r["doc_id"] for r in residue.judged(spark.createDataFrame(pages + parts + quotes + good, DOC)).collect()}
+    want = {r[0] for r in pages + parts}
+    assert len(got & want) >= 0.95 * len(want) and not got - want
