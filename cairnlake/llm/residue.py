@@ -64,9 +64,7 @@ REACH = 2 * 48 + FILLING + 40
 ASK = r"insert|enter|to be (?:added|inserted|completed|confirmed)|tb[cda]\b|to follow|fill in|einfügen|eintragen|ergänzen|nachtragen|folgt|à compléter|compléter|insérer|à insérer|renseigner|insertar|completar|rellenar|indicar|por completar|●|placeholder|platzhalter"
 _NUMBER = r"(?:¶ ?\d+|\[\d+\]|\(\d+\)|\d{1,4}\.(?!\d)|\d{1,4}\t)"
 _PARAGRAPH = re.compile(rf"(?m)^\s*{_NUMBER}")
-_UNNUMBERED = re.compile(rf"(?m)^[^\S\n]*{_NUMBER}[^\S\n]*")
 _LEAD = re.compile(rf"^\s*{_NUMBER}\s*")
-_LINES = re.compile(r"[\r\n\x0b\x0c\x85  ]+")
 _SENTENCES = re.compile(r"(?<=[.!?])\s+")
 _QUOTE_OPEN, _QUOTE_CLOSE = set("\"“„«‚‘'»"), set("\"”“»’‘'«")
 _ID = r"[^\W\d]\w*(?:\.\w+)*"
@@ -87,28 +85,20 @@ _SEE = re.compile(r"(?i)<(?:see|cf|siehe|voir|véase|ver)\b|</?(?:p|br|b|i|em|st
 _WORD = re.compile(r"\w+")
 _RUN = re.compile(r"(?i)\b([^\W\d]{2,30})(?:\s+\1\b){3}")
 _PARTS = re.compile(r"(?<=[:…])\s+|\s[–|—]\s|</?\w+>")
+_NUMBERED = set("¶[(0123456789")
+_ODD_GAP = re.compile(r"[.!?](?=[^\S ])")
 _PART_SIGN = re.compile("[:…–|—<]")
 _LETTERS = re.compile(r"\b[^\W\d_]+\b")
 _TOKEN = re.compile(r"\b[^\W\d_]+\b|\w*\d\w*|#")
 
 
-def filler(unit: str) -> bool:
-    """Whether a unit (in lower case) is a few words over and over, or one sentence repeated."""
-    words = unit.split()
-    if len(words) < 4:
-        return False
-    share = len(set(words)) / len(words)
-    if share > 0.67 or not any(c.isalpha() for c in unit):
-        return False
-    if len(words) >= 6 and share <= 0.4:
-        return True
-    return _twice(unit)
+def _over_and_over(words: list[str]) -> bool:
+    return len(words) >= 6 and len(set(words)) <= 0.4 * len(words)
 
 
-def _twice(unit: str) -> bool:
+def _twice(parts: list[str]) -> bool:
     """Whether a sentence of at least two words and no digits directly follows itself."""
-    parts = [p.strip() for p in _SENTENCES.split(unit.strip()) if p.strip()]
-    return any(a == b and len(_WORD.findall(a)) >= 2 and not any(c.isdigit() for c in a) for a, b in zip(parts, parts[1:], strict=False))
+    return any(len(_WORD.findall(x)) >= 2 and not any(c.isdigit() for c in x) for x, same in zip(parts, map(eq, parts, parts[1:]), strict=False) if same)
 
 
 def _mask(text: str) -> str:
@@ -216,19 +206,26 @@ def slots(text: str) -> list[tuple[str, str, int]]:
     return [(_context(text, a, b), _mask(text[a:b]), _passage(text, a, b)) for a, b in _marks(text)]
 
 
-def repeats(text: str) -> bool:
-    """Whether a line or a sentence says the same over and over."""
-    low = text.lower()
-    words = low.split()
-    if any(map(eq, words, words[1:])) and _RUN.search(low):
-        return True
-    for line in _LINES.split(low):
-        if len(line) < 9:
+def sentences(text: str) -> list[list[str]]:
+    """The sentences of each line, in lower case and without paragraph numbers."""
+    out = []
+    for line in text.casefold().splitlines():
+        if line[:1] in _NUMBERED or line[:1].isspace():
+            line = _LEAD.sub("", line)
+        if not line or line.isspace():
             continue
-        parts = _SENTENCES.split(line)
-        if len(parts) > 1 and (any(map(filler, parts)) or _twice(line)) or filler(line):
-            return True
-        if line[0] in "0123456789[(¶ \t" and filler(_LEAD.sub("", line)):
+        out.append([p for p in _SENTENCES.split(line) if p and not p.isspace()] if ". " in line or "! " in line or "? " in line or _ODD_GAP.search(line) else [line])
+    return out
+
+
+def repeats(lines: list[list[str]]) -> bool:
+    """Whether a line or a sentence says the same over and over."""
+    for parts in lines:
+        for p in parts:
+            words = p.split()
+            if _over_and_over(words) or any(map(eq, words, words[1:])) and _RUN.search(p):
+                return True
+        if len(parts) > 1 and (any(map(eq, parts, parts[1:])) and _twice(parts) or _over_and_over(" ".join(parts).split())):
             return True
     return False
 
@@ -238,14 +235,15 @@ def is_page(text: str) -> bool:
     return not _PARAGRAPH.search(text)
 
 
-def units(text: str) -> Iterator[str]:
-    """Lines and sentences without paragraph numbers, and their parts at dashes, colons and tags; lower case."""
-    for line in _LINES.split(_UNNUMBERED.sub("", text.casefold())):
-        for sentence in _SENTENCES.split(line):
-            if sentence and not sentence.isspace():
-                yield sentence
-                if _PART_SIGN.search(sentence) and len(parts := _PARTS.split(sentence)) > 1:
-                    yield from (p for p in parts if p and not p.isspace())
+def units(lines: list[list[str]]) -> Iterator[str]:
+    """Sentences, lines of several, and the parts of sentences at dashes, colons and tags."""
+    for parts in lines:
+        if len(parts) > 1:
+            yield " ".join(parts)
+        for sentence in parts:
+            yield sentence
+            if _PART_SIGN.search(sentence) and len(pieces := _PARTS.split(sentence)) > 1:
+                yield from (p for p in pieces if p and not p.isspace())
 
 
 def masked(unit: str) -> list[str]:
@@ -286,7 +284,7 @@ def _page_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = is_page(text)
             n[not page] += 1
             if page:
-                seen.update((docket, w) for u in units(text) if u.strip() != court for w in masked(u) if w != "#")
+                seen.update((docket, w) for u in units(sentences(text)) if u.strip() != court for w in masked(u) if w != "#")
         yield _table([(d, w, 0, 0) for d, w in seen] + [(None, None, *n)], _PAGE_WORDS)
 
 
@@ -325,32 +323,42 @@ def _gather(bits: bytes):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = _member(bits)
+        inside: dict[str, tuple[str, ...]] = {}  # the page words of a token; tokens repeat
         for b in batches:
             rows: list[tuple] = []
             held: dict[str, int] = {}
             for i, docket, court, text in _rows_of(b):
-                page = is_page(text)
-                if repeats(text):
+                page, lines, mine = is_page(text), sentences(text), set()
+                if repeats(lines):
                     rows.append((i, docket, "sure", None, None, None))
                 rows += [(i, docket, "slot", *s) for s in slots(text)]
-                known = set(filter(may, set(_LETTERS.findall(text.casefold()))))
+                known: set[str] = set()
+                for token in set(text.casefold().split()):
+                    found = inside.get(token)
+                    if found is None:
+                        if len(inside) > 300_000:
+                            inside.clear()
+                        found = inside[token] = tuple(w for w in _LETTERS.findall(token) if may(w))
+                    known.update(found)
                 if not page:
                     for w in known:
                         held[w] = held.get(w, 0) + 1
-                mine = set()
-                for u in units(text):
-                    letters = _LETTERS.findall(u)
-                    if letters and known.issuperset(letters) and u not in mine and u.strip() != court:
-                        w = masked(u)
-                        mine.add(u)
-                        rows.append((i, docket, "page" if page else "part", " ".join(w), None, int(_said(text, u))))
+                for u in units(lines):
+                    for w in u.split():  # most units end here, at one of their first words
+                        if w.isalpha() and w not in known:
+                            break
+                    else:
+                        letters = _LETTERS.findall(u)
+                        if letters and known.issuperset(letters) and u not in mine and u.strip() != court:
+                            mine.add(u)
+                            rows.append((i, docket, "page" if page else "part", " ".join(masked(u)), None, int(_said(u))))
             rows += [(None, None, "held", w, None, n) for w, n in held.items()]
             yield _table(rows, _EVIDENCE)
 
     return scan
 
 
-def _said(text: str, unit: str) -> bool:
+def _said(unit: str) -> bool:
     """Whether a unit stands in quotation marks, or is the rest of a sentence that quotes."""
     bare = unit.strip()
     return bare[:1] in _QUOTE_OPEN and bare[-1:] in _QUOTE_CLOSE or sum(bare.count(c) for c in '"“”„«»') > 0

@@ -163,8 +163,8 @@ def test_filler_between_sentences_in_lines_of_any_length():
     real = "The lease ran for ten years. {} The landlord then gave notice in writing to each of the tenants."
     for bad in ("The rent was test test test test a year.", "This is sample text. This is sample text."):
         for more in ("", " The court heard both parties at length on the point of notice." * 9):
-            assert residue.repeats("COURT\n1. " + real.format(bad) + more + "\n2. Held.")
-    assert not residue.repeats("COURT\n1. " + real.format("It was, it was said, no bar.") + "\n2. Held.")
+            assert residue.repeats(residue.sentences("COURT\n1. " + real.format(bad) + more + "\n2. Held."))
+    assert not residue.repeats(residue.sentences("COURT\n1. " + real.format("It was, it was said, no bar.") + "\n2. Held."))
 
 
 def test_pages_in_a_language_nobody_listed(spark, tmp_path):
@@ -174,7 +174,7 @@ def test_pages_in_a_language_nobody_listed(spark, tmp_path):
     heads, nouns, faults = ["Vosk", "Tumo {n}", "Grelle {n}:"], ["Ol paterik", "Sa vunda", "Il dresko {n}a"], ["neva hurat", "pa brinta solem", "tok i mervin lasto"]
     wrong = lambda: f"{random.choice(heads)} {random.choice(nouns)} {random.choice(faults)}".replace("{n}", str(random.randint(100, 999)))
     words = "the a court lease quay rent term party sum paid held due claim notice costs order appeal".split()
-    plain = lambda: " ".join(random.choice(words) for _ in range(14)).capitalize() + "."
+    plain = lambda: " ".join(random.sample(words, 14)).capitalize() + "."
     body = lambda extra: "HIGH COURT\n" + "\n".join(f"{k}. {t}" for k, t in enumerate([plain(), *extra, plain(), plain()], 1))
     pages = [(i, wrong() + random.choice(["\nRetu al stara", "", "\nFolta | Nirk"]), None, "") for i in range(60)]
     parts = [(1000 + i, body([random.choice([wrong(), wrong().upper()])]), None, "") for i in range(60)]
@@ -182,4 +182,5 @@ def test_pages_in_a_language_nobody_listed(spark, tmp_path):
     good = [(3000 + i, body([]), None, "") for i in range(1500)]
     got = {r["doc_id"] for r in residue.judged(spark.createDataFrame(pages + parts + quotes + good, DOC)).collect()}
     want = {r[0] for r in pages + parts}
-    assert len(got & want) >= 0.95 * len(want) and not got - want
+    assert len(got & want) >= 0.95 * len(want), len(got & want)
+    assert not got - want, sorted(got - want)
