@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GENESIS = "0" * 64
-CONTENT = ("id", "recorded", "action", "outcome", "agent_who", "entity_ref", "patient", "body_json")
+CONTENT = ("id", "recorded", "action", "outcome", "subtype", "agent_who", "entity_ref", "patient", "body_json")
 
 
 def content(fields: tuple[str, ...] = CONTENT) -> Column:

@@ -45,14 +45,24 @@ def redact(df: DataFrame, columns: list[str], labelled: Column) -> DataFrame:
 
 
 def member_match(requests: DataFrame, members: DataFrame) -> DataFrame:
-    """(request, member, strategy, hits) per request: by identifier first, else by family, birth date and gender.
+    """(request, member, strategy, ambiguous) per request.
 
-    A member is named only if a strategy finds exactly one; several are ambiguous, none is none.
+    The request's identifiers are tried in their order and the first that exactly one member has decides; one
+    that several have is passed over. If none decides, the family name (any case), the birth date (as far as
+    the request has it) and the gender do, if exactly one member fits. ``ambiguous`` says that nobody was
+    found, but something fitted several. Members are counted per identifier and per demographic key
+    beforehand, so a common key costs its rows, not its pairs.
     """
-    by_key = requests.select("request", F.explode("keys").alias("key")).join(members.select("member", F.explode("keys").alias("key")), "key").select("request", "member").distinct()
-    by_demo = requests.join(members.select("member", "family", "birth_date", "gender"), ["family", "birth_date", "gender"]).select("request", "member").distinct()
-    count = lambda df, n: df.groupBy("request").agg(F.count("*").alias(f"n_{n}"), F.min("member").alias(f"m_{n}"))
-    j = requests.select("request").distinct().join(count(by_key, "key"), "request", "left").join(count(by_demo, "demo"), "request", "left")
-    use = F.when(F.col("n_key") > 0, "identifier").when(F.col("n_demo") > 0, "demographics")
-    hits = F.coalesce("n_key", "n_demo", F.lit(0))
-    return j.select("request", F.when(hits == 1, F.coalesce("m_key", "m_demo")).alias("member"), use.alias("strategy"), hits.alias("hits"))
+    each = members.select("member", F.explode(F.array_distinct("keys")).alias("key")).where("key is not null")
+    keyed = each.groupBy("key").agg(F.count_distinct("member").alias("n"), F.min("member").alias("m"))
+    tried = requests.select("request", F.posexplode("keys").alias("turn", "key")).join(keyed, "key")
+    by_key = tried.groupBy("request").agg(F.min(F.when(F.col("n") == 1, F.struct("turn", "m"))).alias("first"), F.max(F.col("n") > 1).alias("several"))
+    known = members.where("family is not null and gender is not null and birth_date is not null")
+    begun = known.select("member", F.lower("family").alias("f"), "gender", "birth_date", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("birth_date")))).alias("k"))
+    fits = begun.groupBy("f", "gender", F.left("birth_date", F.col("k")).alias("b")).agg(F.count_distinct("member").alias("n"), F.min("member").alias("m"))
+    asked = requests.select("request", F.lower("family").alias("f"), "gender", F.col("birth_date").alias("b")).distinct()
+    by_demo = asked.join(fits, ["f", "gender", "b"]).groupBy("request").agg(F.max("n").alias("n_demo"), F.min("m").alias("m_demo"))
+    j = requests.select("request").distinct().join(by_key, "request", "left").join(by_demo, "request", "left")
+    found = F.when(F.col("first").isNotNull(), "identifier").when(F.col("n_demo") == 1, "demographics")
+    many = F.coalesce("several", F.lit(False)) | (F.coalesce("n_demo", F.lit(0)) > 1)
+    return j.select("request", F.coalesce("first.m", F.when(F.col("n_demo") == 1, F.col("m_demo"))).alias("member"), found.alias("strategy"), (found.isNull() & many).alias("ambiguous"))

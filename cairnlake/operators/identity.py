@@ -21,8 +21,11 @@ smaller id; cycles of survivors end at their smallest id.
 from __future__ import annotations
 
 import math
+import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,8 +60,14 @@ def links(df: DataFrame) -> DataFrame:
     return j.select("key", F.coalesce("free", "first").alias("a"), F.col("id").alias("b")).where("a <> b").select("a", "b", "key")
 
 
+def candidates(df: DataFrame) -> DataFrame:
+    """Records that take part in resolution: not inactive. A merged-away record must not join others."""
+    return df.where(F.coalesce("active", F.lit(True)))
+
+
 def components(df: DataFrame) -> DataFrame:
-    """(id, component) of every record."""
+    """(id, component) of every record that isn't inactive."""
+    df = candidates(df)
     nodes = connected_components(links(df).select("a", "b"))
     return df.select("id").distinct().join(nodes.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
@@ -81,6 +90,7 @@ def resolve(df: DataFrame, days: int = 14) -> DataFrame:
 
     Members are joined to their component's smallest record; only pairs decide, so no list of members is built.
     """
+    df = candidates(df)
     keys = identifier_keys(df)
     ssn = keys.where(F.col("key").startswith(SSN + "|")).groupBy("id").agg(F.min("key").alias("ssn"))
     c = components(df)
@@ -101,7 +111,7 @@ def resolve(df: DataFrame, days: int = 14) -> DataFrame:
 def link_table(df: DataFrame, decisions: DataFrame) -> DataFrame:
     """Identifier to record: the survivor after a merge, else the first writer (smallest id) of the identifier."""
     merged = decisions.where("decision = 'merge'").select(F.col("merged").alias("id"), "survivor")
-    k = identifier_keys(df).join(merged, "id", "left")
+    k = identifier_keys(candidates(df)).join(merged, "id", "left")
     return k.groupBy("key").agg(F.coalesce(F.min("survivor"), F.min("id")).alias("id"))
 
 
@@ -285,13 +295,19 @@ def queue_new(candidates: DataFrame, queued: DataFrame, key: str = "candidate_id
     return candidates.join(queued.select(key).distinct(), key, "left_anti")
 
 
-# Letters with an accent and their base letter, for hashing in the JVM.
-_ACCENTS = ("ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿŚśŠšŽžČčŘřĚě", "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyySsSsZzCcRrEe")
+def _based(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Compatibility decomposition (NFKD), of which the ASCII characters are kept."""
+    for s in texts:
+        yield s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
 
 
 def token_text(field: Column) -> Column:
-    """A field as it is tokenised: base letters and digits only, upper case; empty if null."""
-    return F.upper(F.regexp_replace(F.translate(F.coalesce(field.cast("string"), F.lit("")), *_ACCENTS), "[^A-Za-z0-9]", ""))
+    """A field as it is tokenised: base letters and digits only, upper case; empty if null.
+
+    Spark can't decompose letters, so that one step is a vectorised function in Python; what is ASCII already passes it as it is.
+    """
+    based = F.pandas_udf(_based, "string")(F.coalesce(field.cast("string"), F.lit("")))
+    return F.upper(F.regexp_replace(based, "[^A-Za-z0-9]", ""))
 
 
 def hmac_sha256(key: bytes, message: Column) -> Column:
@@ -312,7 +328,9 @@ def hmac_tokens(records: DataFrame, fields: list[str], key: bytes, version: str)
 
 def clk_bits(records: DataFrame, fields: list[str], key: bytes, bits: int = 1024, hashes: int = 4) -> DataFrame:
     """A keyed Bloom filter per record: the sorted positions set by the fields' padded bigrams."""
-    grams = F.flatten(F.array(*[_bigrams(token_text(F.col(f))) for f in fields]))
+    # The texts are a step of their own: what runs in Python may not stand inside a lambda.
+    records = records.select("unique_id", *[token_text(F.col(f)).alias(f) for f in fields])
+    grams = F.flatten(F.array(*[_bigrams(F.col(f)) for f in fields]))
     pos = F.flatten(F.array(*[F.transform("_g", _position(key, k, bits)) for k in range(hashes)]))
     return records.select("unique_id", grams.alias("_g")).select("unique_id", F.array_sort(F.array_distinct(pos)).alias("bits"))
 

@@ -96,7 +96,7 @@ def terms(check: Check, today: str) -> tuple[Column, Column]:
         return _count(vals, lambda v: v.rlike("^(?:" + check.regex + ")")), F.size(vals)
     if check.kind == "date_plausible":
         hi = F.date_format(F.date_add(F.lit(today).cast("date"), 366), "yyyy-MM-dd")
-        return _count(vals, lambda v: v.rlike(r"^\d{4}(-\d{2}(-\d{2})?)?") & (F.left(v, F.lit(4)) >= "1900") & (F.left(v, F.lit(10)) <= hi)), F.size(vals)
+        return _count(vals, lambda v: v.rlike(r"^\d{4}(-\d{2})?(-\d{2})?([T ][^\n]*)?\z") & (F.left(v, F.lit(4)) >= "1900") & (F.left(v, F.lit(10)) <= hi)), F.size(vals)
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 

@@ -73,10 +73,11 @@ QUERIES = {
 }
 
 _COMP = f"""WITH RECURSIVE {PERSONS_SQL},
- ssn AS (SELECT id, min(key) AS s FROM keys WHERE starts_with(key, '{SSN}') GROUP BY id),
- kk AS (SELECT keys.*, s FROM keys LEFT JOIN ssn USING (id)),
+ act AS (SELECT * FROM persons WHERE coalesce(active, true)), live AS (SELECT * FROM keys WHERE id IN (SELECT id FROM act)),
+ ssn AS (SELECT id, min(key) AS s FROM live WHERE starts_with(key, '{SSN}') GROUP BY id),
+ kk AS (SELECT live.*, s FROM live LEFT JOIN ssn USING (id)),
  pairs AS (SELECT DISTINCT a.id AS a, b.id AS b FROM kk a JOIN kk b ON a.key = b.key AND a.id <> b.id AND (a.s IS NULL OR b.s IS NULL OR a.s = b.s)),
- reach AS (SELECT id AS a, id AS b FROM persons UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a),
+ reach AS (SELECT id AS a, id AS b FROM act UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a),
  comp AS (SELECT a AS id, min(b) AS component FROM reach GROUP BY a)"""
 _RES = f"""{_COMP}, sized AS (SELECT component, count(*) AS size, min(id) AS lo, max(id) AS hi FROM comp GROUP BY component HAVING count(*) > 1),
  j AS (SELECT z.*, l.last_updated AS ul, r.last_updated AS ur, CASE WHEN size > 2 THEN 'multi_match' WHEN sl.s <> sr.s THEN 'distinct'
@@ -138,7 +139,7 @@ ORACLES = {
     "mpi_identifier_keys": f"WITH {PERSONS_SQL} SELECT id, key FROM keys",
     "mpi_components": f"{_COMP} SELECT id, component FROM comp",
     "mpi_resolution": f"{_RES} SELECT component, size, decision, reason, survivor, merged FROM res",
-    "mpi_links": f"{_RES} SELECT key, coalesce(min(res.survivor), min(keys.id)) AS id FROM keys LEFT JOIN res ON res.merged = keys.id GROUP BY key",
+    "mpi_links": f"{_RES} SELECT key, coalesce(min(res.survivor), min(live.id)) AS id FROM live LEFT JOIN res ON res.merged = live.id GROUP BY key",
     "mdm_pair_volume": f"WITH {_REC} " + " UNION ALL ".join(f"SELECT '{'+'.join(r)}' AS rule, coalesce(sum(n * (n - 1) // 2), 0)::bigint AS pairs FROM (SELECT count(*) AS n FROM rec WHERE {' AND '.join(f'{c} IS NOT NULL' for c in r)} GROUP BY {', '.join(r)})" for r in CFG.rules),
     "mdm_blocked_pairs": f"WITH {_REC} SELECT id_l, id_r FROM pr",
     "mdm_levels": f"WITH {_LEV} SELECT * FROM lv",

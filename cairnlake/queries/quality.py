@@ -67,7 +67,7 @@ _NM = "(SELECT unnest(name) AS n FROM p)"
 _ID = "(SELECT unnest(identifier) AS i FROM p)"
 _KIND = "regexp_extract({0}, '(?:^|/)([A-Z][A-Za-z]+)/[A-Za-z0-9.\\-]+', 1)"
 _ORG = _KIND.format("managingOrganization.reference")
-_PLAUS = "regexp_matches({0}, '^\\d{{4}}(-\\d{{2}}(-\\d{{2}})?)?') AND left({0}, 4) >= '1900' AND left({0}, 10) <= '2026-07-01'"
+_PLAUS = "regexp_matches({0}, '^\\d{{4}}(-\\d{{2}})?(-\\d{{2}})?([T ][^\n]*)?$') AND left({0}, 4) >= '1900' AND left({0}, 10) <= '2026-07-01'"
 _SUITE = f"WITH {P}, m AS (" + " UNION ALL ".join([
     _m("completeness", "populated:gender", "count(*) FILTER (gender <> '')", "count(*)"), _m("completeness", "populated:birthDate", "count(*) FILTER (birthDate <> '')", "count(*)"), _m("completeness", "populated:name", "count(*) FILTER (len(name) > 0)", "count(*)"),
     _m("completeness", "populated:address", "count(*) FILTER (len(list_filter(address, lambda a: a.city IS NOT NULL OR a.postalCode IS NOT NULL)) > 0)", "count(*)"), _m("completeness", "name:family", "count(*) FILTER (n.family <> '')", "count(*)", _NM), _m("conformance", "required:identifier.value", "count(*) FILTER (i.value <> '')", "count(*)", _ID),

@@ -15,7 +15,7 @@ from cairnlake.sources.tables import table
 def _records(s, d):
     """Audit records of the events, one chain per user."""
     e = table(s, d, "events")
-    return e.select(F.col("user_id").cast("string").alias("chain"), F.lpad(F.col("event_id").cast("string"), 10, "0").alias("id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("recorded"), F.col("event_type").alias("action"), F.lit("0").alias("outcome"), F.lit("svc").alias("agent_who"), F.lit(None).cast("string").alias("entity_ref"), F.concat(F.lit("Patient/"), F.col("user_id").cast("string")).alias("patient"), F.col("props").alias("body_json"))
+    return e.select(F.col("user_id").cast("string").alias("chain"), F.lpad(F.col("event_id").cast("string"), 10, "0").alias("id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("recorded"), F.col("event_type").alias("action"), F.lit("0").alias("outcome"), F.concat(F.lit("t"), (F.col("event_id") % 5).cast("string")).alias("subtype"), F.lit("svc").alias("agent_who"), F.lit(None).cast("string").alias("entity_ref"), F.concat(F.lit("Patient/"), F.col("user_id").cast("string")).alias("patient"), F.col("props").alias("body_json"))
 
 
 def _harmed(s, d):
@@ -63,15 +63,18 @@ def _validated(s, d):
     return v.select("id", F.explode("issues").alias("i")).select("id", "i.path", "i.message")
 
 
-def _requests(s, d, which="k % 3 = 0"):
+def _requests(s, d):
+    """A request per person: a shared identifier first, then one nobody has, then for every third its own; the others have their birth year or month only."""
     c = persons(table(s, d, "customer")).withColumn("k", F.col("id").cast("bigint"))
     k = F.col("k")
-    return c.where(which).select(F.col("id").alias("request"), F.array(F.concat(F.lit("mrn|"), F.when(k % 2 == 0, F.col("id")))).alias("keys"), "family", F.col("birthDate").alias("birth_date"), "gender")
+    keys = F.array(F.concat(F.lit("plan|"), (k % 50).cast("string")), F.lit("none|0"), F.when(k % 3 == 0, F.concat(F.lit("mrn|"), F.col("id"))))
+    return c.select(F.col("id").alias("request"), F.when(k % 7 != 6, keys).otherwise(F.slice(keys, 2, 2)).alias("keys"), F.upper("family").alias("family"), F.left("birthDate", F.when(k % 2 == 0, 7).otherwise(10)).alias("birth_date"), "gender")
 
 
 def _members(s, d):
     c = persons(table(s, d, "customer"))
-    return c.select(F.col("id").alias("member"), F.array(F.concat(F.lit("mrn|"), F.col("id"))).alias("keys"), "family", F.col("birthDate").alias("birth_date"), "gender")
+    k = F.col("id").cast("bigint")
+    return c.select(F.col("id").alias("member"), F.array(F.concat(F.lit("mrn|"), F.col("id")), F.concat(F.lit("plan|"), (k % 50).cast("string"))).alias("keys"), "family", F.col("birthDate").alias("birth_date"), "gender")
 
 
 def _gate(s, d):
@@ -116,7 +119,6 @@ QUERIES = {
     "consent_override": _override,
     "consent_redact": lambda s, d: consent.redact(persons(table(s, d, "customer")).select("id", "family", "birthDate"), ["birthDate"], F.col("id").cast("bigint") % 23 == 0),
     "member_match": lambda s, d: consent.member_match(_requests(s, d), _members(s, d)),
-    "member_match_all": lambda s, d: consent.member_match(_requests(s, d, "true"), _members(s, d)),
     "transaction_refs": _bundles,
     "transaction_refs_all": _bundles_all,
     "term_membership3": lambda s, d: terminology.membership(_asked(s, d), _expansion(s, d), _headers(s, d)).select("c_custkey", "status", "display"),
@@ -131,7 +133,7 @@ QUERIES = {
     "validate_bindings": lambda s, d: validation.bindings(table(s, d, "customer"), ["c_custkey"], F.expr("array(named_struct('system', 'urn:nations', 'code', cast(c_nationkey as string)), named_struct('system', 'urn:x', 'code', 'y'))"), "vs-region-1", _expansion(s, d), _headers(s, d)),
 }
 
-_AUD = """a AS (SELECT user_id::varchar AS chain, lpad(event_id::varchar, 10, '0') AS id, event_id AS n, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS recorded, event_type AS action, 'id=' || lpad(event_id::varchar, 10, '0') || chr(10) || 'recorded=' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || chr(10) || 'action=' || event_type || chr(10) || 'outcome=0' || chr(10) || 'agent_who=svc' || chr(10) || 'entity_ref=' || chr(10) || 'patient=Patient/' || user_id || chr(10) || 'body_json=' || coalesce(props, '') AS content FROM events)"""
+_AUD = """a AS (SELECT user_id::varchar AS chain, lpad(event_id::varchar, 10, '0') AS id, event_id AS n, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS recorded, event_type AS action, 'id=' || lpad(event_id::varchar, 10, '0') || chr(10) || 'recorded=' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || chr(10) || 'action=' || event_type || chr(10) || 'outcome=0' || chr(10) || 'subtype=t' || event_id % 5 || chr(10) || 'agent_who=svc' || chr(10) || 'entity_ref=' || chr(10) || 'patient=Patient/' || user_id || chr(10) || 'body_json=' || coalesce(props, '') AS content FROM events)"""
 _ISS = """SELECT chain, id, 'content mismatch' AS issue FROM a WHERE n % 101 <> 7 AND n % 97 = 5 AND action <> 'edited'
  UNION ALL SELECT chain, id, 'previous record missing' FROM (SELECT *, lag(n) OVER (PARTITION BY chain ORDER BY recorded, id) AS before FROM a) WHERE n % 101 <> 7 AND before % 101 = 7
  UNION ALL SELECT chain, NULL, 'no first record' FROM (SELECT chain, min(struct_pack(recorded, id, n)) AS f FROM a GROUP BY chain) z WHERE f.n % 101 = 7 AND EXISTS (SELECT 1 FROM a WHERE a.chain = z.chain AND a.n % 101 <> 7)"""
@@ -150,10 +152,10 @@ ORACLES = {
     "consent_filter": f"WITH {_GATE} SELECT event_id, allowed, len(blocking)::int AS n_blocking FROM g",
     "consent_override": f"WITH {_GATE} SELECT event_id AS id FROM g WHERE len(blocking) > 0 AND user_id % 2 = 0 AND user_id % 3 <> 0 AND user_id % 7 <> 0 AND (user_id % 5 = 0 OR list_contains(blocking, 'PSY'))",
     "consent_redact": f"WITH {PERSONS_SQL} SELECT id, family, CASE WHEN k % 23 <> 0 THEN birthDate END AS birthDate, k % 23 = 0 AS redacted FROM persons",
-    "member_match": f"""WITH {PERSONS_SQL}, q AS (SELECT * FROM persons WHERE k % 3 = 0), dm AS (SELECT q.id AS request, count(*) AS n, min(m.id) AS m FROM q JOIN persons m ON q.family = m.family AND q.birthDate = m.birthDate AND q.gender = m.gender GROUP BY q.id)
-       SELECT q.id AS request, CASE WHEN k % 2 = 0 THEN q.id WHEN dm.n = 1 THEN dm.m END AS member, CASE WHEN k % 2 = 0 THEN 'identifier' WHEN dm.n > 0 THEN 'demographics' END AS strategy, CASE WHEN k % 2 = 0 THEN 1 ELSE coalesce(dm.n, 0) END AS hits FROM q LEFT JOIN dm ON dm.request = q.id""",
-    "member_match_all": f"""WITH {PERSONS_SQL}, dm AS (SELECT q.id AS request, count(*) AS n, min(m.id) AS m FROM persons q JOIN persons m ON q.family = m.family AND q.birthDate = m.birthDate AND q.gender = m.gender GROUP BY q.id)
-       SELECT q.id AS request, CASE WHEN k % 2 = 0 THEN q.id WHEN dm.n = 1 THEN dm.m END AS member, CASE WHEN k % 2 = 0 THEN 'identifier' WHEN dm.n > 0 THEN 'demographics' END AS strategy, CASE WHEN k % 2 = 0 THEN 1 ELSE coalesce(dm.n, 0) END AS hits FROM persons q LEFT JOIN dm ON dm.request = q.id""",
+    "member_match": f"""WITH {PERSONS_SQL}, q AS (SELECT *, left(birthDate, CASE WHEN k % 2 = 0 THEN 7 ELSE 10 END) AS b, k % 7 <> 6 AND (SELECT count(*) FROM persons x WHERE x.k % 50 = q0.k % 50) > 1 AS shared, k % 7 <> 6 AND (SELECT count(*) FROM persons x WHERE x.k % 50 = q0.k % 50) = 1 AS alone FROM persons q0),
+       dm AS (SELECT q.id AS request, count(*) AS n, min(m.id) AS m FROM q JOIN persons m ON q.family = m.family AND starts_with(m.birthDate, q.b) AND q.gender = m.gender GROUP BY q.id)
+       SELECT q.id AS request, CASE WHEN alone OR k % 3 = 0 THEN q.id WHEN dm.n = 1 THEN dm.m END AS member, CASE WHEN alone OR k % 3 = 0 THEN 'identifier' WHEN dm.n = 1 THEN 'demographics' END AS strategy,
+       NOT (alone OR k % 3 = 0) AND coalesce(dm.n, 0) <> 1 AND (shared OR coalesce(dm.n, 0) > 1) AS ambiguous FROM q LEFT JOIN dm ON dm.request = q.id""",
     "transaction_refs_all": """WITH r AS (SELECT o_custkey AS bundle, 'Order/' || o_orderkey AS resource_id, CASE WHEN o_orderkey % 3 = 0 THEN 'Order/' || o_orderkey WHEN o_orderkey % 3 = 1 AND c_custkey IS NOT NULL THEN 'Customer/' || c_custkey END AS resolved, o_orderkey % 3 <> 1 OR c_custkey IS NOT NULL AS ok
        FROM orders LEFT JOIN customer ON c_custkey = o_orderkey) SELECT *, bool_and(ok) OVER (PARTITION BY bundle) AS commits FROM r""",
     "transaction_refs": """WITH e AS (SELECT o_custkey AS bundle, o_orderkey AS k FROM orders), r AS (SELECT bundle, 'Order/' || k AS resource_id, CASE WHEN k % 3 = 0 THEN 'Order/' || k WHEN k % 3 = 1 AND k % 200 BETWEEN 0 AND least(190, (SELECT max(c_custkey) FROM customer)) THEN 'Customer/' || (k % 200) END AS resolved,

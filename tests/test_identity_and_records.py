@@ -54,10 +54,11 @@ def test_resolution(spark):
         person("e1", [(mrn, "5")], active=False), person("e2", [(mrn, "5")]),
         person("f1", [(mrn, "6")], deceased="2024-01-01T00:00:00Z"), person("f2", [(mrn, "6")], deceased="2024-02-01T00:00:00Z"),
         person("g1", []),
+        person("h1", [(mrn, "7")], at="2024-01-01"), person("h2", [(mrn, "7")], active=False), person("h3", [(mrn, "7")], at="2024-03-01"),  # an inactive one takes no part
     ]
     df = spark.createDataFrame(rows, PERSON)
     got = {r["component"]: (r["decision"], r["reason"], r["survivor"]) for r in identity.resolve(df).collect()}
-    assert got == {"a1": ("merge", None, "a2"), "b1": ("review", "multi_match", None), "c1": ("review", "sex_mismatch", None), "e1": ("review", "inactive_candidate", None), "f1": ("review", "date_of_death_mismatch", None)}
+    assert got == {"a1": ("merge", None, "a2"), "b1": ("review", "multi_match", None), "c1": ("review", "sex_mismatch", None), "h1": ("merge", None, "h3"), "f1": ("review", "date_of_death_mismatch", None)}
 
 
 def test_survivors_and_rewriting(spark):
@@ -93,11 +94,11 @@ def test_weights_separate(spark):
     assert min(r["match_probability"] for r in out if r["id_r"][0] == "r") > 0.95 > 0.05 > max(r["match_probability"] for r in out if r["id_r"][0] == "x")
 
 
-AUDIT = "chain string, id string, recorded string, action string, outcome string, agent_who string, entity_ref string, patient string, body_json string"
+AUDIT = "chain string, id string, recorded string, action string, outcome string, subtype string, agent_who string, entity_ref string, patient string, body_json string"
 
 
 def test_audit_chain_detects_harm(spark):
-    df = spark.createDataFrame([(c, f"{i:03d}", f"2024-01-{i % 28 + 1:02d}", "read", "0", None, None, "Patient/1", "{}") for c in "ab" for i in range(40)], AUDIT)
+    df = spark.createDataFrame([(c, f"{i:03d}", f"2024-01-{i % 28 + 1:02d}", "read", "0", "vread", None, None, "Patient/1", "{}") for c in "ab" for i in range(40)], AUDIT)
     whole = audit.chain(df).cache()
     assert audit.verify(whole).collect() == []
     order = audit.chain_order(whole).where("chain = 'a'").orderBy("position").collect()
@@ -105,6 +106,8 @@ def test_audit_chain_detects_harm(spark):
     first, mid, last = order[0]["id"], order[20]["id"], order[-1]["id"]
     edited = whole.withColumn("action", F.when((F.col("chain") == "a") & (F.col("id") == mid), "write").otherwise(F.col("action")))
     assert [tuple(r) for r in audit.verify(edited).collect()] == [("a", mid, "content mismatch")]
+    other = whole.withColumn("subtype", F.when((F.col("chain") == "b") & (F.col("id") == mid), "search").otherwise(F.col("subtype")))
+    assert [tuple(r) for r in audit.verify(other).collect()] == [("b", mid, "content mismatch")]
     cut = whole.where(~((F.col("chain") == "a") & (F.col("id") == mid)))
     assert [r["issue"] for r in audit.verify(cut).collect()] == ["previous record missing"]
     assert {r["issue"] for r in audit.verify(whole.where(~((F.col("chain") == "a") & (F.col("id") == first)))).collect()} == {"no first record", "previous record missing"}
@@ -145,7 +148,7 @@ def test_checks_with_known_answers(spark):
     df = spark.createDataFrame([(b,) for b in bodies], "body_json string")
     checks = [Check("must_support", "g", ("gender",)), Check("must_support", "n", ("name",)), Check("binding", "c", ("gender",), codes=("male", "female")), Check("format", "f", ("birthDate",), regex=r"\d{4}(-\d\d(-\d\d)?)?$"), Check("date_plausible", "p", ("birthDate",)), Check("max_cardinality", "m", ("name",)), Check("max_cardinality", "mg", ("name", "given"), max=1)]
     got = {r["metric"]: (r["numerator"], r["denominator"]) for r in quality.run_checks(df, checks, "2026-07-06").collect()}
-    assert got == {"g": (3, 4), "n": (1, 4), "c": (2, 3), "f": (3, 4), "p": (2, 4), "m": (0, 2), "mg": (0, 1)}
+    assert got == {"g": (3, 4), "n": (1, 4), "c": (2, 3), "f": (3, 4), "p": (1, 4), "m": (0, 2), "mg": (0, 1)}
     none = quality.run_checks(df.limit(0), checks, "2026-07-06").collect()
     assert len(none) == 7 and all(r["score"] is None and r["denominator"] == 0 for r in none)
     assert [r["value"] for r in quality.bad_examples(df, checks[2]).collect()] == ["banana"]
@@ -209,3 +212,26 @@ def test_consent(spark):
     df = spark.createDataFrame([("system", ["R"], "1", None), ("patient", ["R"], "1", "1"), ("patient", [], "1", "2"), ("user", ["R", "N"], "1", None), ("user", None, "1", None), (None, [], "1", None)], "c string, l array<string>, p string, launch string")
     ok, blocking = consent.decision(F.col("c"), F.col("l"), F.col("p"), F.col("launch"))
     assert [(r[0], r[1]) for r in df.select(ok, blocking).collect()] == [(True, []), (True, []), (False, []), (False, ["R"]), (True, []), (False, [])]
+
+
+def test_member_match_in_turn(spark):
+    members = [("m1", ["a|1", "p|9"], "Sol", "1970-06-02", "female"), ("m2", ["a|2", "p|9"], "Sol", "1970-06-30", "female"), ("m3", ["a|3", "p|8"], "Orr", "1980-01-01", "male"), ("m4", None, None, None, None)]
+    asks = [
+        ("first unique wins", ["p|9", "a|2", "a|1"], None, None, None, ("m2", "identifier", False)),
+        ("ambiguous falls through", ["p|9"], "ORR", "1980", "male", ("m3", "demographics", False)),
+        ("several of both", ["p|9"], "sol", "1970-06", "female", (None, None, True)),
+        ("several people fit", [], "Sol", "1970", "female", (None, None, True)),
+        ("nobody", ["x|1", None], "Sol", "1971", "female", (None, None, False)),
+        ("no keys", None, "Sol", "1970-06-30", "female", ("m2", "demographics", False)),
+        ("nothing", None, None, None, None, (None, None, False)),
+    ]
+    m = spark.createDataFrame(members, "member string, keys array<string>, family string, birth_date string, gender string")
+    q = spark.createDataFrame([a[:5] for a in asks], "request string, keys array<string>, family string, birth_date string, gender string")
+    got = {r["request"]: (r["member"], r["strategy"], r["ambiguous"]) for r in consent.member_match(q, m).collect()}
+    assert got == {a[0]: a[5] for a in asks}
+
+
+def test_tokens_decompose_letters(spark):
+    cases = {"Ångström": "ANGSTROM", "ﬁsh": "FISH", "Ğül-ș": "GULS", "søren": "SREN", "x¹": "X1", None: "", "": ""}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r["t"]: r["k"] for r in df.select("t", identity.token_text(F.col("t")).alias("k")).collect()} == cases
