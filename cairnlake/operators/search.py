@@ -1,7 +1,8 @@
 """Record search over an index of (code, system, value) entries.
 
 Predicates are higher-order ``exists`` on the index column, so a search is one
-filter over current rows: no explode, no shuffle. Chains are semi-joins,
+filter over indexed rows, without explode or shuffle (making the index from
+repeated deliveries takes one aggregate, see ``resources``). Chains are semi-joins,
 includes are joins. A conjunction is the conjunction of its ``exists`` (two
 conditions may be met by one entry, as in a two-sided range). Values compare as
 text; numbers by ``try_cast``, so what isn't a number never matches. A null
