@@ -40,7 +40,7 @@ def _approved_all(s, d):
 def _bodies(s, d):
     """Observation bodies with the subjects of even patients led to one survivor; the references of the results."""
     o = R.observations(table(s, d, "observation")).where("not coalesce(deleted, false)").select("id", "body_json")
-    p = table(s, d, "patient").select(F.col("fhir_id").alias("id")).distinct().where("id < 'pt-8'").withColumn("terminal", F.lit("pt-one"))
+    p = table(s, d, "patient").where("not active").select(F.col("fhir_id").alias("id")).distinct().withColumn("terminal", F.lit("pt-one"))
     out = G.rewrite_bodies(o, ["id"], p)
     return out.select("id", F.get_json_object("body_json", "$.subject.reference").alias("ref"))
 
@@ -48,8 +48,6 @@ def _bodies(s, d):
 QUERIES = {
     "mdm_decision_log": lambda s, d: G.decision_log(*_log(s, d), "run1", NOW).select("id_l", "id_r", "band", F.get_json_object("contributions", "$.g_birth").cast("int").alias("g_birth")),
     "mdm_review_rows": lambda s, d: G.review_rows(_log(s, d)[1], NOW).select("candidate_ids", "suggested_action", "status"),
-    "mdm_apply_decisions": lambda s, d: _approved(s, d)[0].select("review_id", "survivor", "merged"),
-    "mdm_apply_errors": lambda s, d: _approved(s, d)[1],
     "mdm_apply_decisions_all": lambda s, d: _approved_all(s, d)[0].select("review_id", "survivor", "merged"),
     "mdm_apply_errors_all": lambda s, d: _approved_all(s, d)[1],
     "mdm_provenance": lambda s, d: G.provenance(I.resolve(persons(table(s, d, "customer"))), "merge", "resolver", NOW).select(F.get_json_object("body_json", "$.target[0].reference").alias("survivor"), F.get_json_object("body_json", "$.target[1].reference").alias("merged")),
@@ -62,15 +60,12 @@ QUERIES = {
 ORACLES = {
     "mdm_decision_log": f"WITH {_BAND} SELECT id_l, id_r, band, g_birth FROM bands JOIN lv USING (id_l, id_r)",
     "mdm_review_rows": f"WITH {_BAND} SELECT id_l || ',' || id_r AS candidate_ids, CASE band WHEN 'auto_match' THEN 'merge' ELSE 'inspect' END AS suggested_action, 'pending' AS status FROM bands WHERE band IN ('auto_match', 'review')",
-    "mdm_apply_decisions": """WITH x AS (SELECT c_custkey AS k, '2024-01-' || lpad((c_custkey % 28 + 1)::varchar, 2, '0') AS ta, '2024-01-' || lpad(((c_custkey + 1) % 28 + 1)::varchar, 2, '0') AS tb FROM customer WHERE c_custkey % 20 = 1 AND c_custkey % 60 <> 1 AND c_custkey + 1 IN (SELECT c_custkey FROM customer)),
-       m AS (SELECT k::varchar AS review_id, (CASE WHEN ta >= tb THEN k ELSE k + 1 END)::varchar AS survivor, (CASE WHEN ta >= tb THEN k + 1 ELSE k END)::varchar AS merged, k FROM x) SELECT review_id, survivor, merged FROM m WHERE NOT (k % 100 = 21 AND survivor = k::varchar)""",
-    "mdm_apply_errors": "SELECT c_custkey::varchar AS review_id, 'patient missing' AS error FROM customer WHERE c_custkey % 60 = 1",
     "mdm_apply_decisions_all": """WITH x AS (SELECT a.c_custkey AS k, b.c_custkey AS o, a.c_acctbal AS debt, '2024-01-' || lpad((a.c_custkey % 28 + 1)::varchar, 2, '0') AS ta, '2024-01-' || lpad((b.c_custkey % 28 + 1)::varchar, 2, '0') AS tb FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1 + a.c_nationkey)
        SELECT k::varchar AS review_id, (CASE WHEN ta >= tb THEN k ELSE o END)::varchar AS survivor, (CASE WHEN ta >= tb THEN o ELSE k END)::varchar AS merged FROM x WHERE NOT (debt < 0 AND ta >= tb)""",
     "mdm_apply_errors_all": "SELECT c_custkey::varchar AS review_id, 'patient missing' AS error FROM customer WHERE c_custkey + 1 + c_nationkey NOT IN (SELECT c_custkey FROM customer)",
     "mdm_provenance": f"{_RES} SELECT 'Patient/' || survivor AS survivor, 'Patient/' || merged AS merged FROM res WHERE survivor IS NOT NULL",
     "audit_event_class": "SELECT event_id, ['R', 'C', 'U', 'D', 'E'][(event_id % 5)::int + 1] AS action, ['0', '0', '4', '8'][(event_id % 4)::int + 1] AS outcome FROM events",
     "search_elements": f"WITH {O} SELECT fhir_id AS id, status, (2 + (status IS NOT NULL)::int)::int AS n_keys FROM o",
-    "promote_rewrite_bodies": rf"WITH {O} SELECT fhir_id AS id, CASE WHEN regexp_extract(subject.reference, 'Patient/([A-Za-z0-9.\-]+)', 1) IN (SELECT fhir_id FROM patient WHERE fhir_id < 'pt-8') THEN regexp_replace(subject.reference, 'Patient/[A-Za-z0-9.\-]+', 'Patient/pt-one') ELSE subject.reference END AS ref FROM o",
+    "promote_rewrite_bodies": rf"WITH {O} SELECT fhir_id AS id, CASE WHEN regexp_extract(subject.reference, 'Patient/([A-Za-z0-9.\-]+)', 1) IN (SELECT fhir_id FROM patient WHERE NOT active AND fhir_id IS NOT NULL) THEN regexp_replace(subject.reference, 'Patient/[A-Za-z0-9.\-]+', 'Patient/pt-one') ELSE subject.reference END AS ref FROM o",
     "package_libraries": "SELECT DISTINCT o_orderkey AS questionnaire, n_name AS library FROM orders LEFT JOIN nation ON n_nationkey = o_custkey % 40",
 }

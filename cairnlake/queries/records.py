@@ -119,7 +119,6 @@ QUERIES = {
     "consent_override": _override,
     "consent_redact": lambda s, d: consent.redact(persons(table(s, d, "customer")).select("id", "family", "birthDate"), ["birthDate"], F.col("id").cast("bigint") % 23 == 0),
     "member_match": lambda s, d: consent.member_match(_requests(s, d), _members(s, d)),
-    "transaction_refs": _bundles,
     "transaction_refs_all": _bundles_all,
     "term_membership3": lambda s, d: terminology.membership(_asked(s, d), _expansion(s, d), _headers(s, d)).select("c_custkey", "status", "display"),
     "term_lookup": lambda s, d: terminology.lookup(table(s, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 5 == 0, "urn:other").otherwise("urn:nations").alias("system"), (F.col("c_nationkey") + F.col("c_custkey") % 3).cast("string").alias("code")), _concepts(s, d)).select("c_custkey", "status", "display"),
@@ -158,8 +157,6 @@ ORACLES = {
        NOT (alone OR k % 3 = 0) AND coalesce(dm.n, 0) <> 1 AND (shared OR coalesce(dm.n, 0) > 1) AS ambiguous FROM q LEFT JOIN dm ON dm.request = q.id""",
     "transaction_refs_all": """WITH r AS (SELECT o_custkey AS bundle, 'Order/' || o_orderkey AS resource_id, CASE WHEN o_orderkey % 3 = 0 THEN 'Order/' || o_orderkey WHEN o_orderkey % 3 = 1 AND c_custkey IS NOT NULL THEN 'Customer/' || c_custkey END AS resolved, o_orderkey % 3 <> 1 OR c_custkey IS NOT NULL AS ok
        FROM orders LEFT JOIN customer ON c_custkey = o_orderkey) SELECT *, bool_and(ok) OVER (PARTITION BY bundle) AS commits FROM r""",
-    "transaction_refs": """WITH e AS (SELECT o_custkey AS bundle, o_orderkey AS k FROM orders), r AS (SELECT bundle, 'Order/' || k AS resource_id, CASE WHEN k % 3 = 0 THEN 'Order/' || k WHEN k % 3 = 1 AND k % 200 BETWEEN 0 AND least(190, (SELECT max(c_custkey) FROM customer)) THEN 'Customer/' || (k % 200) END AS resolved,
-       k % 3 <> 1 OR k % 200 BETWEEN 0 AND least(190, (SELECT max(c_custkey) FROM customer)) AS ok FROM e) SELECT *, bool_and(ok) OVER (PARTITION BY bundle) AS commits FROM r""",
     "term_membership3": """SELECT c_custkey, CASE WHEN n_name IS NOT NULL THEN 'valid' WHEN c_custkey % 7 >= 5 OR c_custkey % 7 = 2 THEN 'unknown' ELSE 'invalid' END AS status, n_name AS display FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_regionkey = c_custkey % 7""",
     "term_lookup": "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'unknown' WHEN n_name IS NOT NULL THEN 'valid' ELSE 'invalid' END AS status, n_name AS display FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey + c_custkey % 3 AND c_custkey % 5 <> 0",
     "term_expand_filter": "SELECT 'urn:nations' AS system, n_nationkey::varchar AS code, n_name AS display FROM nation WHERE n_regionkey = 1 AND (contains(lower(n_name), 'a') OR contains(n_nationkey::varchar, 'a'))",

@@ -72,7 +72,6 @@ QUERIES = {
     "search_has": lambda s, d: S.reverse_chained(_p(s, d), "Patient", _o(s, d), "subject", [Param("code", "token", "temp")]).select("id"),
     "search_has_two": lambda s, d: S.reverse_chained(S.reverse_chained(_p(s, d), "Patient", _o(s, d), "subject", [Param("code", "token", "temp")]), "Patient", _c(s, d), "patient", [Param("outcome", "token", "error")]).select("id"),
     "search_include": lambda s, d: _ids(S.include(S.search(_o(s, d), [Param("code", "token", "temp")]), "subject", _p(s, d))),
-    "search_include_iterate": lambda s, d: _ids(S.include_iterate(S.search(_g(s, d), [Param("active", "token", "true")]).where("id < 'og-3'"), "partof", _g(s, d))),
     "search_include_iterate_all": lambda s, d: _ids(S.include_iterate(S.search(_g(s, d), [Param("active", "token", "true")]), "partof", _g(s, d))),
     "search_revinclude": lambda s, d: _ids(S.revinclude(S.search(_p(s, d), [Param("family", "string", "sal")]), _o(s, d), "subject")),
     "compartment_everything": _everything,
@@ -122,9 +121,6 @@ ORACLES = {
     "search_has_two": f"""WITH {P}, {O}, {C} SELECT fhir_id AS id FROM p WHERE 'Patient/' || fhir_id IN (SELECT {_OKEY} FROM o WHERE subject.reference IS NOT NULL AND EXISTS (SELECT 1 FROM unnest(o.code.coding) t(k) WHERE k.code = 'temp'))
        AND 'Patient/' || fhir_id IN (SELECT {_CKEY} FROM c WHERE patient.reference IS NOT NULL AND outcome = 'error')""",
     "search_include": f"WITH {P}, {O} SELECT 'Patient' AS resource_type, fhir_id AS id FROM p WHERE 'Patient/' || fhir_id IN (SELECT {_OKEY} FROM o WHERE subject.reference IS NOT NULL AND EXISTS (SELECT 1 FROM unnest(o.code.coding) t(k) WHERE k.code = 'temp'))",
-    "search_include_iterate": f"""WITH RECURSIVE {G}, start AS (SELECT fhir_id, partOf.reference AS up FROM g WHERE active AND fhir_id < 'og-3'),
-       walk AS (SELECT fhir_id, up, 0 AS k FROM start UNION SELECT g.fhir_id, g.partOf.reference, k + 1 FROM walk JOIN g ON {_key("walk.up")} = 'Organization/' || g.fhir_id WHERE k < 5)
-       SELECT DISTINCT 'Organization' AS resource_type, fhir_id AS id FROM walk WHERE k > 0 AND fhir_id NOT IN (SELECT fhir_id FROM start)""",
     "search_include_iterate_all": f"""WITH RECURSIVE {G}, start AS (SELECT fhir_id, partOf.reference AS up FROM g WHERE active),
        walk AS (SELECT fhir_id, up, 0 AS k FROM start UNION SELECT g.fhir_id, g.partOf.reference, k + 1 FROM walk JOIN g ON {_key("walk.up")} = 'Organization/' || g.fhir_id WHERE k < 5)
        SELECT DISTINCT 'Organization' AS resource_type, fhir_id AS id FROM walk WHERE k > 0 AND fhir_id NOT IN (SELECT fhir_id FROM start)""",
