@@ -20,9 +20,9 @@ scanning marks first.
 Odd cases: null fields weigh little or nothing; records without any name or
 with a null id are left out; repeated rows count once (of rows of one id that
 differ, the smallest silver_id's or the smallest row); empty tables give an
-empty result; extra columns aren't read. Components above ``EXACT`` pairs are
-not collected: they are grouped alike and assigned one-to-one in rounds of
-mutual best pairs (``assign_large``), which needn't reach the largest total.
+empty result; extra columns aren't read. The assignment is exact and the same at
+any size; ``EXACT`` only says from where on a component travels to its task as
+numbers (``assign_large``) and no longer as records.
 """
 
 from __future__ import annotations
@@ -31,9 +31,11 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +48,7 @@ from cairnlake.session import shared_dir
 WINDOW = 24
 #: Bits from which a pair counts as one person; the confidence there is 0.5.
 THRESHOLD = 17.0
-#: Pairs of a component up to which one task assigns it, exactly (about a second for so many).
+#: Pairs of a component up to which its task gets whole records, above which numbers; the rows are the same.
 EXACT = 100_000
 # The laboratory record's fields that are compared.
 FIELDS = ["given_name", "family_name", "birth_date", "gender", "postal_code"]
@@ -425,60 +427,78 @@ def candidates(patient: DataFrame, linkage_record: DataFrame, specimen: DataFram
     return inside.unionByName(across).groupBy("fhir_id", "unique_id").agg(F.max("score").alias("score")).join(labs, "unique_id")
 
 
-def assign(pairs: list[tuple[str, str, float]], same: dict[str, int]) -> list[tuple[str, str, float]]:
-    """One-to-one between patients and groups of laboratory records with the largest total.
+def solve(group: np.ndarray, patient: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The edges (by position) of the one-to-one assignment of groups to patients with the largest total.
 
-    ``same`` maps a record to its group. Exact by shortest augmenting paths: the
-    groups come one by one, and each takes the path that adds most, at whose end
-    is a free patient or a group (maybe itself) that goes without.
+    An edge is a group's number, a patient's and a weight above 0; numbers count from 0 without gaps and come
+    once a pair. Exact by shortest augmenting paths: the groups come one by one, and each takes the path that
+    adds most, at whose end is a free patient or a group (maybe itself) that goes without. Ties are settled by
+    the numbers' order alone. Edges and partners stay in arrays; only what
+    a single search reaches is in dicts.
     """
-    weight: dict[int, dict[str, float]] = {}
-    for p, q, s in pairs:
-        own = weight.setdefault(same[q], {})
-        own[p] = max(own.get(p, 0.0), s)
+    by_group = np.argsort(group, kind="stable")
+    first = np.searchsorted(group[by_group], np.arange(group.max(initial=-1) + 2))
+    patient_of, weight_of = patient[by_group].astype(np.int32), weight[by_group]
+    del by_group
     # Potentials: group + patient >= weight, with equality for the taken; those of the free are 0.
-    of_group: dict[int, float] = {}
-    of_patient = {p: 0.0 for p, _, _ in pairs}
-    taken: dict[str, int] = {}
-    has: dict[int, str] = {}
-    for start in sorted(weight):
-        of_group[start] = max(0.0, max(s - of_patient[p] for p, s in weight[start].items()))
+    of_group, of_patient = array("d", bytes(8 * (len(first) - 1))), array("d", bytes(8 * (int(patient.max(initial=-1)) + 1)))
+    taken, has = array("q", [-1]) * len(of_patient), array("q", [-1]) * len(of_group)  # -1 is nobody
+    for start in range(len(of_group)):
+        own = slice(first[start], first[start + 1])
+        of_group[start] = max(0.0, max(s - of_patient[p] for p, s in zip(patient_of[own].tolist(), weight_of[own].tolist(), strict=True)))
         far, came = {start: 0.0}, {}
-        near: dict[str, float] = {}
-        heap: list[tuple[float, str]] = []
-        end, length = (start, None), of_group[start]
+        near: dict[int, float] = {}
+        heap: list[tuple[float, int]] = []
+        end, length = (start, -1), of_group[start]
         g = start
         while True:
-            for p, s in weight[g].items():
+            own = slice(first[g], first[g + 1])
+            for p, s in zip(patient_of[own].tolist(), weight_of[own].tolist(), strict=True):
                 d = far[g] + of_group[g] + of_patient[p] - s
                 if d < length and d < near.get(p, length):
                     near[p], came[p] = d, g
                     heapq.heappush(heap, (d, p))
-            while heap and (heap[0][0] > near[heap[0][1]] or taken.get(heap[0][1]) in far):
+            while heap and (heap[0][0] > near[heap[0][1]] or taken[heap[0][1]] in far):
                 heapq.heappop(heap)
             if not heap or heap[0][0] >= length:
                 break
             d, p = heapq.heappop(heap)
-            if p not in taken:
-                end, length = (None, p), d
+            if taken[p] < 0:
+                end, length = (-1, p), d
                 break
             g = taken[p]
             far[g] = d
             if d + of_group[g] < length:
-                end, length = (g, None), d + of_group[g]
+                end, length = (g, -1), d + of_group[g]
         for g, d in far.items():
             of_group[g] -= max(0.0, length - d)
         for p, d in near.items():
             of_patient[p] += max(0.0, length - d)
         g, p = end
-        if p is None:
-            p = has.pop(g, None)  # goes without, and leaves its patient to the one before
-        while p is not None:
+        if p < 0:
+            p, has[g] = has[g], -1  # goes without, and leaves its patient to the one before
+        while p >= 0:
             g = came[p]
-            before = has.get(g)
+            before = has[g]
             taken[p], has[g] = g, p
             p = before
-    return [(p, q, s) for p, q, s in pairs if has.get(same[q]) == p]
+    return np.flatnonzero(np.array(has, np.int64)[group] == patient)
+
+
+def assign(pairs: list[tuple[str, str, float]], same: dict[str, int]) -> list[tuple[str, str, float]]:
+    """One-to-one between patients and groups of laboratory records with the largest total.
+
+    ``same`` maps a record to its group. Ties are settled by the order of groups and patients.
+    """
+    best: dict[tuple[int, str], float] = {}
+    for p, q, s in pairs:
+        best[same[q], p] = max(best.get((same[q], p), 0.0), s)
+    edges = list(best)
+    group = np.unique([g for g, _ in edges], return_inverse=True)[1]
+    number = {p: k for k, p in enumerate(sorted({p for _, p in edges}))}
+    taken = solve(group, np.array([number[p] for _, p in edges], np.int64), np.array(list(best.values())))
+    kept = {edges[k] for k in taken}
+    return [(p, q, s) for p, q, s in pairs if (same[q], p) in kept]
 
 
 def _same_person(recs: dict[str, dict], best: dict[str, str], sure: set[str]) -> dict[str, str]:
@@ -519,26 +539,46 @@ def _grouped(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"unique_id": list(first), "person": list(first.values())})
 
 
-def assign_large(pairs: DataFrame) -> DataFrame:
-    """One-to-one between patients and groups of laboratory records, without collecting a component.
+def _in_order(ids: DataFrame) -> DataFrame:
+    """Each id once with a number ``n`` that grows with it."""
+    return ids.distinct().orderBy("id").withColumn("n", F.monotonically_increasing_id()).checkpoint()
+
+
+def _solved(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The edges that each component keeps; a component's edges come one after the other."""
+
+    def kept() -> pd.DataFrame:
+        g, p, weight = (np.concatenate(held.pop(c)) for c in ("g", "p", "score"))  # the pieces go one by one
+        own = solve(np.unique(g, return_inverse=True)[1], np.unique(p, return_inverse=True)[1], weight)
+        return pd.DataFrame({"g": g[own], "p": p[own]})
+
+    now: str | None = None
+    held: dict[str, list[np.ndarray]] = {}
+    for pdf in it:
+        for component, rows in pdf.groupby("component", sort=False):
+            if held and component != now:
+                yield kept()
+            now = component
+            for c in ("g", "p", "score"):
+                held.setdefault(c, []).append(rows[c].to_numpy(copy=True))
+    if held:
+        yield kept()
+
+
+def assign_large(marked: DataFrame) -> DataFrame:
+    """What ``_component`` gives of each component, ties included, for those whose records don't fit a task.
 
-    The records are grouped as in small components. Then, in rounds, every pair that is the best left of
-    both its patient and its group is taken and both leave; ties are broken by a hash of the two ids, so
-    that pairs of one score are settled in a few rounds. The total is at least half the largest.
+    Records are grouped by best patient, each apart. A component's edges then are streamed to one task as
+    numbers that sort like the ids, so that the same solver settles it in the same way.
     """
-    top = pairs.groupBy("unique_id").agg(F.max(F.struct("score", "fhir_id")).alias("t"), *[F.first(c).alias(c) for c in FIELDS])
+    top = marked.groupBy("unique_id").agg(F.max(F.struct("score", "fhir_id")).alias("t"), *[F.first(c).alias(c) for c in FIELDS])
     persons = top.select("unique_id", F.col("t.fhir_id").alias("best"), F.col("t.score").alias("top"), *FIELDS).groupBy("best").applyInPandas(_grouped, "unique_id string, person string").checkpoint()
-    marked = pairs.select("fhir_id", "unique_id", "score").join(persons, "unique_id").checkpoint()
-    left = marked.groupBy("fhir_id", "person").agg(F.max("score").alias("score")).withColumn("order", F.struct("score", F.xxhash64("fhir_id", "person").alias("h"), "fhir_id", "person")).checkpoint()
-    taken: list[DataFrame] = []
-    while not left.isEmpty():
-        both = left.groupBy("fhir_id").agg(F.max("order").alias("o")).join(left.groupBy("person").agg(F.max("order").alias("o")).select("o"), "o", "left_semi").select("o.fhir_id", "o.person").checkpoint()
-        taken.append(both)
-        left = left.join(both.select("fhir_id"), "fhir_id", "left_anti").join(both.select("person"), "person", "left_anti").checkpoint()
-    out = marked.limit(0).select("fhir_id", "person")
-    for t in taken:
-        out = out.unionByName(t)
-    return marked.join(out, ["fhir_id", "person"], "left_semi").select("fhir_id", "unique_id", "score")
+    named = marked.select("component", "fhir_id", "unique_id", "score").join(persons, "unique_id").checkpoint()
+    groups, patients = _in_order(named.select(F.col("person").alias("id"))), _in_order(named.select(F.col("fhir_id").alias("id")))
+    named = named.join(groups.select(F.col("id").alias("person"), F.col("n").alias("g")), "person").join(patients.select(F.col("id").alias("fhir_id"), F.col("n").alias("p")), "fhir_id").checkpoint()
+    edges = named.groupBy("component", "g", "p").agg(F.max("score").alias("score"))
+    kept = edges.repartition("component").sortWithinPartitions("component").mapInPandas(_solved, "g long, p long").checkpoint()
+    return named.join(kept, ["g", "p"], "left_semi").select("fhir_id", "unique_id", "score")
 
 
 def matches(patient: DataFrame, linkage_record: DataFrame, specimen: DataFrame, sources: DataFrame) -> DataFrame:

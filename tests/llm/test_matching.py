@@ -106,6 +106,26 @@ def test_large_components_are_one_to_one(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, M.matches(pairs, None, None, None).select("fhir_id", "unique_id").collect())) == [("p1", "a"), ("p1", "a2"), ("p2", "b")]
 
 
+def test_rows_do_not_depend_on_the_size_of_components(spark, tmp_path, monkeypatch):
+    """Contested and tied components give the same rows, with the largest total, on either side of ``EXACT``."""
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    rnd = random.Random(6)
+    people = [("".join(rnd.choices("abcdefghijklmnop", k=8)), "".join(rnd.choices("abcdefghijklmnop", k=8)), f"{1900 + k}-{k % 12 + 1:02d}-{k % 28 + 1:02d}", "male", f"{k * 977:05d}") for k in range(62)]
+    rows = [("a1", "a", 20.0, *people[60]), ("a1", "b", 19.0, *people[61]), ("a2", "a", 19.0, *people[60])]  # mutual best alone gives 20
+    for c in range(12):
+        for k in range(rnd.randint(2, 9)):
+            who = people[rnd.randrange(60)]
+            for p in rnd.sample(range(6), rnd.randint(1, 4)):
+                rows.append((f"c{c}p{p}", f"c{c}x{k}", 17 + rnd.randrange(rnd.choice([1, 3, 30])) / 2, *who))
+    pairs = spark.createDataFrame(rows, "fhir_id string, unique_id string, score double, given_name string, family_name string, birth_date string, gender string, postal_code string")
+    monkeypatch.setattr(M, "candidates", lambda *tables: pairs)
+    got = []
+    for exact in (100_000, 8, 1):
+        monkeypatch.setattr(M, "EXACT", exact)
+        got.append(sorted(map(tuple, M.matches(pairs, None, None, None).select("fhir_id", "unique_id").collect())))
+    assert {("a1", "b"), ("a2", "a")} <= set(got[0]) and got[0] == got[1] == got[2]
+
+
 def test_assignment_is_exact_at_any_size():
     rnd = random.Random(5)
 
