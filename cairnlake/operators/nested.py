@@ -7,7 +7,8 @@ by that schema. Then the array levels are exploded one after the other, each fro
 the rows of the level above: their elements become the rows of child tables, one table for each array path of the schema, which carry the
 row's key, their own path (the surrogate key within the row), the path of the
 nearest enclosing element (the parent's surrogate key) and their ordinal. Each
-level is a narrow pass, written to the shared folder: nothing is shuffled.
+level is a narrow pass, written to the shared folder: nothing is shuffled. What
+is still to be exploded below an element is written with it as pruned JSON text.
 
 Where bodies disagree on a key's layout (object here, array or scalar there)
 the merged schema says VARIANT. Such places are kept as variants and walked
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -234,20 +236,19 @@ def _holders(tree: object, key: str = "") -> list[tuple]:
 
 
 class _Level:
-    """Rows of one array level: what they say of themselves, and their elements side by side."""
+    """Rows of one array level: what they say of themselves, and what is below them as text.
+
+    The types of a level have as many leaves as there are ways down, and a table has a column for each;
+    the text has only what an element holds: the keys that lead to arrays.
+    """
 
     def __init__(self, width: list[object], extra=None):
         self.width, self.extra = width, extra
-        self.types = [_ddl(t, extra is not None) for t in width] or ["string"]
+        self.types = [_ddl(t, extra is not None) for t in width]
         self.none = F.lit(None).cast("map<string,string>" if extra is not None else "string")
 
-    def payload(self, k: int = -1, x: Column | None = None) -> Column:
-        """Field k is the element, the others are null."""
-        return F.struct(*[(x if i == k and x is not None else F.lit(None).cast(t)).alias(f"c{i}") for i, t in enumerate(self.types)])
-
-    def row(self, path: Column, owner: Column, is_object: bool, said: Column | None = None, is_open: Column | None = None, e: Column | None = None) -> Column:
-        said, is_open = self.none if said is None else said, F.lit(False) if is_open is None else is_open
-        return F.struct(path.alias("node_path"), owner.alias("parent_path"), F.lit(is_object).alias("_object"), is_open.alias("_open"), said.alias("_extra"), (self.payload() if e is None else e).alias("_e"))
+    def row(self, path: Column, owner: Column, is_object: bool, said: Column | None = None, e: Column | None = None) -> Column:
+        return F.struct(path.alias("node_path"), owner.alias("parent_path"), F.lit(is_object).alias("_object"), (self.none if said is None else said).alias("_extra"), (F.lit(None).cast("string") if e is None else e).alias("_e"))
 
     def closed(self):
         return lambda r: self.row(r["node_path"], r["parent_path"], True)
@@ -260,14 +261,16 @@ class _Level:
 
         def one(n: Column) -> Column:
             said = self.extra(n["x"], tree) if self.extra is not None and is_object else None
-            is_open = F.lit(False)
-            for keys in below:
-                is_open = is_open | _at(n["x"], keys).isNotNull()
-            e = F.when(is_open, self.payload(k, n["x"])).otherwise(self.payload()) if below else None
-            return self.row(F.concat(lead, F.lit("["), n["i"].cast("string"), F.lit("]")), own, is_object, said, is_open, e)
+            is_open = reduce(Column.__or__, [_at(n["x"], keys).isNotNull() for keys in below], F.lit(False))
+            e = F.when(is_open, F.to_json(F.struct(n["x"].alias(f"c{k}")))) if below else None
+            return self.row(F.concat(lead, F.lit("["), n["i"].cast("string"), F.lit("]")), own, is_object, said, e)
 
         return one
 
+    def read(self, e: Column) -> Column:
+        """The element: field k is that of the k-th table, the others are null."""
+        return F.from_json(e, f"struct<{', '.join(f'c{k}: {t}' for k, t in enumerate(self.types))}>")
+
 
 def _at(x: Column, keys: tuple[str, ...]) -> Column:
     for name in keys:
@@ -311,7 +314,9 @@ def _exploded(df: DataFrame, key: list[str], tree: object, extra=None) -> DataFr
             found.write.parquet(at)
             found = spark.read.schema(found.schema).parquet(at)
         parts.append(found.where("_object").select(*key, "node_path", "parent_path", *(["_extra"] if extra is not None else [])))
-        rows, here = found.where("_open"), new
+        here = new
+        if here.width:
+            rows = found.where(F.col("_e").isNotNull()).withColumn("_e", here.read(F.col("_e")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
